@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from clienttrail.functions import as_of_literal, elapsed_days
 from clienttrail.operators.profile import client_profile
 from clienttrail.schema import (
+    DETAILS_SCHEMA,
     DOCS_SUBMITTED,
     FINDINGS_SCHEMA,
     NO_SALES_REP,
-    STAGED_SCHEMA,
     UNKNOWN,
     UNKNOWN_PLAN,
 )
@@ -395,8 +395,7 @@ def client_event_details(staged: DataFrame, findings: DataFrame) -> DataFrame:
     The ids are made distinct before they shuffle, and adaptive execution splits the join
     partition of a client with very many events.
     """
-    columns = [c for c in STAGED_SCHEMA.names if c not in ("client_id", "record_id")]
     affected = findings.select("client_id").distinct()
     return staged.join(affected, "client_id", "left_semi").select(
-        "client_id", "record_id", *[c for c in columns if c in staged.columns]
+        *[c for c in DETAILS_SCHEMA.names if c in staged.columns]
     )

@@ -69,6 +69,37 @@ STAGED_SCHEMA = T.StructType(
     ]
 )
 
+DETAILS_SCHEMA = T.StructType(
+    [
+        STAGED_SCHEMA[c]
+        for c in (
+            "client_id",
+            "record_id",
+            "event_type",
+            "event_date",
+            "plan",
+            "region",
+            "marketing_channel",
+            "sales_rep_id",
+            "source_system",
+            "event_rank",
+        )
+    ]
+)
+
+DISTRIBUTION_SCHEMA = T.StructType(
+    [
+        T.StructField("event_type", T.StringType()),
+        T.StructField("event_count", T.LongType()),
+        T.StructField("unique_clients", T.LongType()),
+        T.StructField("earliest_date", T.TimestampNTZType()),
+        T.StructField("latest_date", T.TimestampNTZType()),
+        T.StructField("avg_sales_rep_id", T.DoubleType()),
+        T.StructField("plans_involved", T.StringType()),
+        T.StructField("regions_involved", T.StringType()),
+    ]
+)
+
 FUNNEL_SCHEMA = T.StructType(
     [
         T.StructField("client_id", T.LongType()),

@@ -1,0 +1 @@
+"""Nothing here: all lifecycle operators are batch operators, none has streaming semantics."""

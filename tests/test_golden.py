@@ -1,0 +1,372 @@
+"""The 27 sample events give the known results, table by table."""
+
+from __future__ import annotations
+
+import pytest
+from fixtures import AS_OF, days, rows
+from pyspark.sql import functions as F
+
+from clienttrail.operators import checks, churn, funnel, reports
+
+
+@pytest.fixture(scope="module")
+def clients(staged):
+    return funnel.client_funnel(staged).cache()
+
+
+@pytest.fixture(scope="module")
+def risk(staged):
+    return churn.client_risk(churn.client_churn(staged, AS_OF)).cache()
+
+
+@pytest.fixture(scope="module")
+def findings(staged):
+    return checks.inconsistencies(staged, AS_OF).cache()
+
+
+def test_staged(staged):
+    by_record = {r.record_id: r for r in staged.collect()}
+    assert len(by_record) == 27
+    ranks = {n: r.event_rank for n, r in by_record.items() if r.event_rank != 1}
+    assert ranks == {2: 2, 6: 2, 9: 2, 10: 3, 23: 2}
+    assert {n for n, r in by_record.items() if r.plan == "Unknown"} == {8, 9, 10, 24}
+    assert {n for n, r in by_record.items() if r.sales_rep_id == -1} == {8, 14}
+    assert staged.columns[-1] == "event_rank"
+
+
+def test_funnel(clients):
+    expected = [
+        (1001, *days("2023-01-05", None, None, "2023-01-07", None)),
+        (1002, *days("2023-01-06", None, None, "2023-01-10", "2023-02-01")),
+        (1003, *days("2023-01-08", None, None, None, None)),
+        (1004, *days("2023-01-10", None, None, "2023-01-20", "2023-02-01")),
+        (1005, *days("2023-01-15", "2023-01-16", None, "2023-01-18", None)),
+        (1006, *days("2023-01-18", None, "2023-01-19", None, None)),
+        (1007, *days("2023-01-20", None, None, "2023-01-25", "2023-02-15")),
+        (1008, *days("2023-01-22", None, None, "2023-01-29", None)),
+        (1009, *days("2023-01-30", None, None, "2023-01-28", "2023-02-05")),
+    ]
+    assert rows(clients) == expected
+
+
+def test_metrics(clients):
+    metrics = funnel.funnel_metrics(clients)
+    assert rows(metrics) == [(9, 9, 1, 1, 7, 4, 1.0, 1 / 9, 1 / 9, 7 / 9, 4 / 7, 3)]
+    assert [tuple(r) for r in funnel.funnel_overview(metrics).collect()] == [
+        ("Applied", 9),
+        ("Docs Submitted", 1),
+        ("Rejected", 1),
+        ("Signed", 7),
+        ("Churned", 4),
+        ("Active", 3),
+    ]
+    assert funnel.funnel_waterfall(metrics).first() == ("Total Clients", 9)
+    assert [r.label for r in funnel.funnel_rates(metrics).collect()] == [
+        "100.0%",
+        "11.1%",
+        "11.1%",
+        "77.8%",
+        "57.1%",
+    ]
+    assert dict(rows(funnel.funnel_summary(metrics))) == {
+        "Total Clients": "9",
+        "Applied Clients": "9 (100.0%)",
+        "Docs Submitted": "1 (11.1%)",
+        "Rejected Clients": "1 (11.1%)",
+        "Signed Clients": "7 (77.8%)",
+        "Churned Clients": "4 (57.1%)",
+        "Active Clients": "3",
+        "Success Rate: Applied → Signed": "77.8%",
+        "Retention Rate: Signed → Active": "42.9%",
+    }
+    assert rows(funnel.funnel_insights(metrics)) == [(7 / 9, 1 - 7 / 9, 4 / 7, 1 - 4 / 7)]
+
+
+def test_durations(clients):
+    durations = funnel.stage_durations(clients)
+    found: dict[str, list[int]] = {}
+    for _, stage, n in rows(durations):
+        found.setdefault(stage, []).append(n)
+    assert found == {
+        "Applied → Docs": [1],
+        "Applied → Rejected": [1],
+        "Applied → Signed": [2, 4, 10, 3, 5, 7, -2],
+        "Signed → Churned": [22, 12, 21, 8],
+    }
+    stats = {r.stage: r for r in funnel.stage_duration_stats(durations).collect()}
+    assert stats["Applied → Signed"][1:] == (7, -2, 2.5, 4.0, 6.0, 10)
+    assert stats["Signed → Churned"][1:] == (4, 8, 11.0, 16.5, 21.25, 22)
+
+
+def test_journeys(clients):
+    assert [tuple(r) for r in funnel.journey_types(clients).collect()] == [
+        ("Full Journey (Applied → Signed → Churned)", 4),
+        ("Active Client (Applied → Signed)", 2),
+        ("Active with Docs (Applied → Docs → Signed)", 1),
+        ("Applied Only (No Progress)", 1),
+        ("Rejected (Applied → Rejected)", 1),
+    ]
+    assert rows(funnel.funnel_monthly(clients)) == [("2023-01", 9, 7)]
+
+
+def test_funnel_client_table(clients):
+    table = [tuple(r) for r in funnel.funnel_client_table(clients).collect()]
+    assert [r[0] for r in table] == [str(n) for n in range(1001, 1010)]
+    assert table[8] == ("1009", "2023-01-30", "-", "-", "2023-01-28", "2023-02-05", "-2", "8")
+    assert table[2] == ("1003", "2023-01-08", "-", "-", "-", "-", "-", "-")
+
+
+def test_churn(risk):
+    expected = [
+        (1001, *days("2023-01-07", "2023-01-06", "2023-01-07", None), "signed", 0, 944, 944),
+        (1002, *days("2023-02-01", "2023-01-06", "2023-01-11", "2023-02-01"), "churned", 1, 919, 940),
+        (1003, *days("2023-01-09", "2023-01-09", None, None), None, 0, 942, None),
+        (1004, *days("2023-02-01", "2023-01-10", "2023-01-20", "2023-02-01"), "churned", 1, 919, 931),
+        (1005, *days("2023-01-18", "2023-01-15", "2023-01-18", None), "signed", 0, 933, 933),
+        (1006, *days("2023-01-19", "2023-01-18", None, None), "rejected", 0, 932, None),
+        (1007, *days("2023-02-15", "2023-01-20", "2023-01-25", "2023-02-15"), "churned", 1, 905, 926),
+        (1008, *days("2023-01-29", "2023-01-23", "2023-01-29", None), "signed", 0, 922, 922),
+        (1009, *days("2023-02-05", "2023-01-30", "2023-01-28", "2023-02-05"), "churned", 1, 915, 923),
+    ]
+    fraction = 0.3352688658051
+    for actual, wanted in zip(rows(risk.drop("risk_category")), expected, strict=True):
+        assert actual[:7] == wanted[:7]
+        assert actual[7] == pytest.approx(wanted[7] + fraction, abs=1e-9)
+        if wanted[8] is None:
+            assert actual[8] is None
+        else:
+            assert actual[8] == pytest.approx(wanted[8] + fraction, abs=1e-9)
+
+
+def test_churn_report(risk):
+    summary = churn.churn_summary(risk)
+    row = summary.first()
+    assert row[:8] == (9, 4, 5, 5, 0, 0, 0, 7)
+    assert row.avg_days_active == pytest.approx(934.9352688658)
+    assert dict(rows(churn.churn_summary_table(summary))) == {
+        "Total Clients": "9",
+        "Clients Churned": "4",
+        "Clients in Risk of Churn": "5",
+        "High Risk (>60 days)": "5",
+        "Medium Risk (31-60 days)": "0",
+        "Low Risk (≤30 days)": "0",
+        "Unknown Risk": "0",
+        "Avg Days Since Last Event (Active)": "934.9",
+        "Churn Rate": "44.4%",
+    }
+    assert rows(churn.churned_vs_at_risk(summary)) == [
+        ("Clients Churned", 4),
+        ("Clients in Risk of Churn", 5),
+    ]
+    assert rows(churn.risk_distribution(risk)) == [("High Risk", 5)]
+    assert rows(churn.last_event_monthly(risk)) == [("2023-01", 5), ("2023-02", 4)]
+    insights = churn.churn_insights(summary).first()
+    assert insights[:3] == (4, 5, 5)
+    assert insights[3:6] == pytest.approx((400 / 9, 500 / 9, 500 / 9))
+    assert sum(r.clients for r in churn.idle_histogram(risk).collect()) == 5
+    assert sum(r.clients for r in churn.signed_histogram(risk).collect()) == 7
+    order = [r.client_id for r in churn.churn_client_table(risk).collect()]
+    assert order == ["1001", "1003", "1005", "1006", "1008", "1002", "1004", "1009", "1007"]
+
+
+def test_risk_by_region(risk, staged):
+    table = churn.risk_by_region(risk, churn.latest_region(staged))
+    assert rows(table, "region", "high_risk", "already_churned") == [
+        ("BR", 0, 1),
+        ("CA", 1, 1),
+        ("IT", 0, 1),
+        ("UK", 2, 0),
+        ("US", 2, 1),
+    ]
+
+
+def test_distribution(staged):
+    table = [tuple(r) for r in checks.event_distribution(staged).collect()]
+    first, last = days("2023-01-05", "2023-01-30")
+    assert table[0] == (
+        "applied", 13, 9, first, last, 53.23, "Basic,Premium,Pro,Unknown", "BR,CA,IT,UK,US"
+    )
+    assert [(r[0], r[1], r[2], r[5], r[6], r[7]) for r in table[1:]] == [
+        ("signed", 8, 7, 62.38, "Basic,Premium,Pro,Unknown", "BR,CA,IT,UK,US"),
+        ("churned", 4, 4, 63.0, "Premium,Pro", "BR,CA,IT,US"),
+        ("docs_submitted", 1, 1, 71.0, "Basic", "UK"),
+        ("rejected", 1, 1, 71.0, "Pro", "UK"),
+    ]
+    assert rows(reports.event_type_counts(checks.event_distribution(staged)))[0] == (
+        "applied", 13, 9
+    )
+
+
+def test_findings(findings, staged):
+    found = {
+        (r.inconsistency_type, r.client_id, r.record_id): {
+            k: v for k, v in r.asDict().items() if v is not None
+        }
+        for r in checks.in_report_order(findings).collect()
+    }
+    order = [(t.split("_")[0], c, n) for t, c, n in found]
+    assert order == [
+        ("Q6", 1003, None), ("Q6", 1006, None),
+        ("Q1", 1001, None), ("Q1", 1003, None), ("Q1", 1008, None),
+        ("unknown", 1003, 8), ("unknown", 1003, 9), ("unknown", 1003, 10),
+        ("unknown", 1005, 14), ("unknown", 1008, 24),
+        ("sequence", 1009, None),
+        ("docs", 1005, None), ("docs", 1001, None), ("docs", 1002, None), ("docs", 1004, None),
+        ("docs", 1007, None), ("docs", 1008, None), ("docs", 1009, None), ("docs", 1003, None),
+        ("docs", 1006, None),
+        ("plan", 1008, None), ("plan", 1002, None),
+    ]
+
+    def finding(kind, client, record=None):
+        row = dict(found[(kind, client, record)])
+        return {k: v for k, v in row.items() if k not in ("client_id", "inconsistency_type")}
+
+    jan5, jan8, jan9, jan10, jan15, jan18 = days(
+        "2023-01-05", "2023-01-08", "2023-01-09", "2023-01-10", "2023-01-15", "2023-01-18"
+    )
+    assert finding(checks.LONG_INACTIVE, 1003) == {
+        "description": "Unsigned client with long inactivity (>60 days) - potential at-risk",
+        "relevant_date": jan9,
+        "days_inactive": 942,
+        "signed_count": 0,
+    }
+    assert finding(checks.MULTIPLE_APPLICATIONS, 1003) == {
+        "description": "Client has multiple application events",
+        "relevant_date": jan8,
+        "application_count": 3,
+        "date_range_days": 1,
+    }
+    assert finding(checks.UNKNOWN_VALUES, 1005, 14) == {
+        "description": "Sales rep ID is -1 (missing/unknown)",
+        "record_id": 14,
+        "event_type": "applied",
+        "event_date": jan15,
+        "plan": "Basic",
+        "sales_rep_id": -1,
+        "region": "UK",
+        "marketing_channel": "Paid Ads",
+        "source_system": "manual_upload",
+    }
+    jan28, jan30, feb5 = days("2023-01-28", "2023-01-30", "2023-02-05")
+    assert finding(checks.SEQUENCE_VIOLATION, 1009) == {
+        "description": "Client signed before applying",
+        "violation_type": "signed_before_applied",
+        "first_applied_date": jan30,
+        "first_signed_date": jan28,
+        "first_churned_date": feb5,
+    }
+    assert finding(checks.DOCS_PATTERN, 1005) == {
+        "description": "Has docs submission event",
+        "signed_count": 1,
+        "applied_count": 1,
+        "docs_count": 1,
+        "rejected_count": 0,
+        "first_applied": jan15,
+        "first_signed": jan18,
+    }
+    assert finding(checks.DOCS_PATTERN, 1006)["description"] == "Other pattern"
+    assert finding(checks.DOCS_PATTERN, 1003)["description"].startswith("Applied but no docs")
+    assert finding(checks.DOCS_PATTERN, 1002) == {
+        "description": "Applied and signed without docs submission",
+        "signed_count": 2,
+        "applied_count": 1,
+        "docs_count": 0,
+        "rejected_count": 0,
+        "first_applied": days("2023-01-06")[0],
+        "first_signed": jan10,
+    }
+    assert finding(checks.PLAN_INCONSISTENCY, 1008) == {
+        "description": "Client has multiple different plans across events",
+        "unique_plans": 3,
+        "all_plans": "Basic,Premium,Unknown",
+        "first_event": days("2023-01-22")[0],
+        "last_event": days("2023-01-29")[0],
+    }
+    assert jan5 == found[(checks.MULTIPLE_APPLICATIONS, 1001, None)]["relevant_date"]
+
+
+def test_finding_counts_and_details(findings, staged):
+    assert dict(rows(checks.inconsistency_counts(findings))) == {
+        checks.DOCS_PATTERN: 9,
+        checks.UNKNOWN_VALUES: 5,
+        checks.MULTIPLE_APPLICATIONS: 3,
+        checks.LONG_INACTIVE: 2,
+        checks.PLAN_INCONSISTENCY: 2,
+        checks.SEQUENCE_VIOLATION: 1,
+    }
+    details = checks.client_event_details(staged, findings)
+    assert details.columns[:2] == ["client_id", "record_id"]
+    assert sorted(r.record_id for r in details.collect()) == list(range(1, 28))
+    assert rows(reports.affected_monthly(details)) == [("2023-01", 23), ("2023-02", 4)]
+    sample = [tuple(r) for r in reports.affected_sample(details).collect()]
+    assert len(sample) == 10
+    assert sample[0] == ("1001", "applied", "2023-01-05")
+    assert sample[9] == ("1003", "applied", "2023-01-09")
+    one = checks.client_event_details(staged, findings.where(F.col("client_id") == 1005))
+    assert sorted(r.record_id for r in one.collect()) == [14, 15, 16]
+
+
+def test_quality_report(findings, staged):
+    assert [r.cases for r in reports.scenario_summary(findings).collect()] == [5, 1, 1, 6, 3]
+    assert reports.scenario_insights(findings, staged).first() == (5, 1, 1, 6, 3, 1, 13, 1 / 13)
+    assert rows(reports.unknown_reason_counts(findings)) == [
+        ("Plan field has Unknown value", 4),
+        ("Sales rep ID is -1 (missing/unknown)", 1),
+    ]
+    assert rows(reports.docs_pattern_counts(findings), "clients") == [(1,), (1,), (1,), (6,)]
+    assert rows(reports.violation_points(findings), "client_id", "event") == [
+        (1009, "Applied"),
+        (1009, "Signed"),
+    ]
+    assert rows(reports.application_spread(findings)) == [(1001, 2, 1), (1003, 3, 1), (1008, 2, 1)]
+    assert dict(rows(reports.question_counts(findings))) == {
+        "Q1: Multiple applied events": 3,
+        "Q6: Long inactive unsigned": 2,
+        "Unknown: docs_submitted_analysis": 9,
+        "Unknown: unknown_values": 5,
+        "Unknown: plan_inconsistency": 2,
+        "Unknown: sequence_violation": 1,
+    }
+    assert rows(reports.severity_counts(findings)) == [("Low", 2), ("Medium", 3)]
+
+
+def test_problem_events(findings):
+    table = [tuple(r) for r in reports.problem_events(findings).collect()]
+    assert len(table) == 18
+    assert [(r[1], int(r[0])) for r in table] == sorted((r[1], int(r[0])) for r in table)
+    assert (
+        "1009",
+        "Sequence Violation",
+        "Signed Before Applied",
+        "Applied: 2023-01-30, Signed: 2023-01-28",
+        "-",
+        "-",
+        "Client signed before applying",
+    ) in table
+    assert (
+        "1003",
+        "Multiple Applications",
+        "3 applications",
+        "2023-01-08",
+        "1 days",
+        "-",
+        "Client has multiple application events",
+    ) in table
+    assert (
+        "1003",
+        "Document Pattern",
+        "Applied: 3, Docs: 0, Signed: 0",
+        "Applied: 2023-01-08",
+        "Signed: -",
+        "-",
+        "Applied but no docs submission (still pending?)",
+    ) in table
+    assert (
+        "1008",
+        "Unknown Values",
+        "signed",
+        "2023-01-29",
+        "Unknown",
+        "57",
+        "Plan field has Unknown value",
+    ) in table
