@@ -22,25 +22,27 @@ EVENT_TYPES = {
 }
 
 
-def _client_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Region per customer, one row per key.
+def _join_regions(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add the region of the user as a customer.
 
-    The aggregation states that the key is unique, so the left join to this is dropped from plans
-    that do not read the region.
+    Plain left joins to scans: Spark broadcasts what is small, and splits the join to customers
+    if one user has very many events.
     """
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
     return (
-        customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
-        .groupBy("c_custkey")
-        .agg(F.max("r_name").alias("r_name"))
+        events.join(customer, events.user_id == customer.c_custkey, "left")
+        .join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+        .join(region, nation.n_regionkey == region.r_regionkey, "left")
     )
 
 
-def lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events in the raw schema, with gaps in every field that staging fills or drops."""
+def lifecycle_events(spark: SparkSession, sf_dir: str, with_region: bool = True) -> DataFrame:
+    """Events in the raw schema, with gaps in every field that staging fills or drops.
+
+    Without the region (null then), which few operators read, the join to customers is saved.
+    """
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn(
         "k", F.get_json_object("props", "$.k").cast("bigint")
     )
@@ -70,10 +72,11 @@ def lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sales_rep_id": unless_every(11, 50 + k % 25),
         "source_system": unless_every(19, choice(["internal_form", "web_api", "manual_upload"])),
     }
-    regions = _client_regions(spark, sf_dir)
-    return events.join(regions, events.user_id == regions.c_custkey, "left").select(
-        *[fields[c].alias(c) for c in RAW_COLUMNS]
-    )
+    if with_region:
+        events = _join_regions(events, spark, sf_dir)
+    else:
+        events = events.withColumn("r_name", F.lit(None).cast("string"))
+    return events.select(*[fields[c].alias(c) for c in RAW_COLUMNS])
 
 
 def lifecycle_text(spark: SparkSession, sf_dir: str) -> DataFrame:

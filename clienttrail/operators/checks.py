@@ -392,10 +392,12 @@ def inconsistency_counts(findings: DataFrame) -> DataFrame:
 def client_event_details(staged: DataFrame, findings: DataFrame) -> DataFrame:
     """Staged events of every client with a finding.
 
-    The ids are made distinct before they shuffle, and adaptive execution splits the join
-    partition of a client with very many events.
+    The ids shrink to a few per client before they meet the events. They are made distinct by type
+    as well, which leaves them to be shuffled by the join itself: only a join that reads both its
+    sides straight from a shuffle is split by adaptive execution when one client has very many
+    events.
     """
-    affected = findings.select("client_id").distinct()
+    affected = findings.select("client_id", "inconsistency_type").distinct().select("client_id")
     return staged.join(affected, "client_id", "left_semi").select(
         *[c for c in DETAILS_SCHEMA.names if c in staged.columns]
     )

@@ -13,13 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clienttrail.operators.skew import HOT_ROWS, collect_hot_keys, join_hot
+
 GROUP = ["client_id", "event_type"]
 ORDER = ["event_date", "record_id"]
 
-HOT_ROWS = 20_000_000
 SLICE_ROWS = 5_000_000
 COPIES_PER_TASK_ROW = 1_000_000
-BUCKETS = 1 << 18
 
 
 def with_event_rank(
@@ -28,42 +28,20 @@ def with_event_rank(
     slice_rows: int = SLICE_ROWS,
     copies_per_task_row: int = COPIES_PER_TASK_ROW,
 ) -> DataFrame:
-    """Add `event_rank`, 1 for the earliest event of a type; ties go by `record_id`."""
-    hot = _hot_groups(events, hot_rows)
-    ordinary = _on_group(events, hot, "left_anti").withColumn(
-        "event_rank",
-        F.row_number().over(Window.partitionBy(*GROUP).orderBy(*ORDER)).cast("bigint"),
-    )
-    return ordinary.unionByName(_rank_hot(events, hot, slice_rows, copies_per_task_row))
-
-
-def _hot_groups(events: DataFrame, hot_rows: int) -> DataFrame:
-    """Groups with more than `hot_rows` rows; at most (all rows / hot_rows) of them.
+    """Add `event_rank`, 1 for the earliest event of a type; ties go by `record_id`.
 
-    Rows are counted per hash bucket first, which shuffles almost nothing, and only the groups in
-    crowded buckets are counted exactly. Without a crowded bucket, adaptive execution drops the
-    exact count and the whole hot branch.
+    Looking for large groups runs a small job over the two group columns right away.
     """
-    bucket = F.pmod(F.xxhash64(*GROUP), F.lit(BUCKETS)).alias("_bucket")
-    crowded = (
-        events.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    )
-    return (
-        events.select(*GROUP, bucket)
-        .join(F.broadcast(crowded.select("_bucket")), "_bucket", "left_semi")
-        .groupBy(*GROUP)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-    )
+    hot = collect_hot_keys(events, GROUP, hot_rows)
+    if hot is None:
+        return _rank_whole(events)
+    ordinary = _rank_whole(join_hot(events, hot, GROUP, "left_anti"))
+    return ordinary.unionByName(_rank_hot(events, hot, slice_rows, copies_per_task_row))
 
 
-def _on_group(left: DataFrame, right: DataFrame, how: str, *extra: str) -> DataFrame:
-    """Join to a side of at most one row per hot group (or slice); null keys match null keys."""
-    keys = [*GROUP, *extra]
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    match = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    joined = left.join(F.broadcast(renamed), match, how)
-    return joined.drop(*[f"_r_{k}" for k in keys])
+def _rank_whole(events: DataFrame) -> DataFrame:
+    in_group = Window.partitionBy(*GROUP).orderBy(*ORDER)
+    return events.withColumn("event_rank", F.row_number().over(in_group).cast("bigint"))
 
 
 def _rank_hot(
@@ -74,7 +52,7 @@ def _rank_hot(
 
     # Exact copies of a row would all land in one slice, so they travel as one row and a count.
     rows = (
-        _on_group(events, hot.select(*GROUP), "left_semi")
+        join_hot(events, hot, GROUP, "left_semi")
         .groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_key", F.struct(*ORDER, F.xxhash64(*rest).alias("_tie")))
@@ -87,7 +65,7 @@ def _rank_hot(
         .agg(F.array_sort(F.collect_set("_key")).alias("_limits"))
     )
     sliced = (
-        _on_group(rows, limits, "left")
+        join_hot(rows, limits, GROUP, "left")
         .withColumn("_slice", _limits_up_to(F.col("_limits"), F.col("_key")))
         .drop("_limits")
     )
@@ -104,11 +82,11 @@ def _rank_hot(
         Window.unboundedPreceding, Window.currentRow
     )
     last_rank = F.col("_offset") + F.col("_through")
-    ranked = _on_group(
+    ranked = join_hot(
         sliced.withColumn("_through", F.sum("_copies").over(in_slice)),
         before_slice,
+        [*GROUP, "_slice"],
         "left",
-        "_slice",
     ).select(*columns, (last_rank - F.col("_copies")).alias("_before"), last_rank.alias("_last"))
     return _expand_copies(ranked, columns, copies_per_task_row)
 

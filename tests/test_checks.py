@@ -167,7 +167,9 @@ def test_distribution_with_null_type_and_lists(spark):
 
 
 def test_details_skip_unknown_clients(odd, spark):
-    findings = spark.createDataFrame([(6,), (6,), (None,)], "client_id long")
+    findings = spark.createDataFrame(
+        [(6, "a"), (6, "b"), (6, "b"), (None, "a")], "client_id long, inconsistency_type string"
+    )
     assert rows(checks.client_event_details(odd, findings), "client_id") == [(6,)] * 3
 
 
