@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 20_000_000
-BUCKETS = 1 << 18
+BUCKETS = 1 << 20
 
 
 def collect_hot_keys(
