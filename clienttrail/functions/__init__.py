@@ -2,7 +2,7 @@ from clienttrail.functions.columns import (
     as_of_literal,
     date_text,
     elapsed_days,
-    elapsed_micros,
+    elapsed_days_sql,
     lenient_long,
     lenient_timestamp,
     month_text,
@@ -17,7 +17,7 @@ __all__ = [
     "as_of_literal",
     "date_text",
     "elapsed_days",
-    "elapsed_micros",
+    "elapsed_days_sql",
     "lenient_long",
     "lenient_timestamp",
     "month_text",

@@ -61,36 +61,36 @@ def title_case(col: Column) -> Column:
     return F.when(col.rlike(f"[^{_CASED} ][{_CASED}]"), by_letter_run).otherwise(F.initcap(col))
 
 
-def as_of_literal(as_of: datetime | str) -> Column:
-    """The reporting instant as a zone-less UTC literal."""
-    if isinstance(as_of, datetime):
-        if as_of.tzinfo is not None:
-            as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
-        as_of = as_of.isoformat(sep=" ")
-    return F.lit(as_of).cast("timestamp_ntz")
-
-
-def elapsed_micros(start: Column, end: Column) -> Column:
-    """Microseconds from start to end of zone-less timestamps, whatever the session zone."""
-    gap = end - start
-
-    def part(unit: str) -> Column:
-        return F.extract(F.lit(unit), gap)
-
-    return (
-        part("DAY").cast("bigint") * MICROS_PER_DAY
-        + part("HOUR").cast("bigint") * 3_600_000_000
-        + part("MINUTE").cast("bigint") * 60_000_000
-        + (part("SECOND") * 1_000_000).cast("bigint")
+def as_of_literal(as_of: datetime | str) -> str:
+    """The reporting instant as a SQL literal: zone-less UTC."""
+    if isinstance(as_of, str):
+        as_of = datetime.fromisoformat(as_of)
+    if as_of.tzinfo is not None:
+        as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
+    return f"TIMESTAMP_NTZ '{as_of.isoformat(sep=' ')}'"
+
+
+def elapsed_days_sql(start: str, end: str) -> str:
+    """SQL for the fractional days from start to end of zone-less timestamps.
+
+    Exact to the microsecond and, unlike `timestampdiff`, the same in every session zone.
+    """
+    gap = f"({end} - {start})"
+    micros = (
+        f"cast(extract(DAY FROM {gap}) AS bigint) * {MICROS_PER_DAY}"
+        f" + cast(extract(HOUR FROM {gap}) AS bigint) * 3600000000"
+        f" + cast(extract(MINUTE FROM {gap}) AS bigint) * 60000000"
+        f" + cast(extract(SECOND FROM {gap}) * 1000000 AS bigint)"
     )
+    return f"(cast({micros} AS double) / {MICROS_PER_DAY}D)"
 
 
-def elapsed_days(start: Column, end: Column) -> Column:
-    """Fractional days from start to end."""
-    return elapsed_micros(start, end).cast("double") / float(MICROS_PER_DAY)
+def elapsed_days(start: str, end: str) -> Column:
+    """Fractional days from start to end, given as SQL."""
+    return F.expr(elapsed_days_sql(start, end))
 
 
-def whole_days(start: Column, end: Column) -> Column:
+def whole_days(start: str, end: str) -> Column:
     """Whole 24-hour days from start to end, rounded down (so −1.5 days is −2)."""
     return F.floor(elapsed_days(start, end)).cast("int")
 

@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clienttrail.functions import as_of_literal, elapsed_days
+from clienttrail.functions import as_of_literal, elapsed_days_sql
 from clienttrail.operators.profile import client_profile
 from clienttrail.schema import (
     DETAILS_SCHEMA,
@@ -53,116 +53,101 @@ _KEYS = ("client_id", "inconsistency_type", "description")
 
 
 class _ClientCheck(NamedTuple):
-    fires: Column
-    description: Column
-    fields: dict[str, Column]
+    """A check of one client's history: SQL over the client profile."""
 
+    fires: str
+    description: str
+    fields: dict[str, str]
 
-def _churned_without_signed() -> _ClientCheck:
-    return _ClientCheck(
-        (F.col("churned_count") > 0) & (F.col("signed_count") == 0),
-        F.lit("Client churned without ever signing"),
-        {
-            "relevant_date": F.col("first_churned"),
-            "signed_count": F.col("signed_count"),
-            "churned_count": F.col("churned_count"),
-        },
-    )
-
-
-def _long_inactive(as_of: datetime | str) -> _ClientCheck:
-    idle = elapsed_days(F.col("last_event"), as_of_literal(as_of))
-    return _ClientCheck(
-        (F.col("signed_count") == 0) & (idle > LONG_INACTIVE_DAYS),
-        F.lit("Unsigned client with long inactivity (>60 days) - potential at-risk"),
-        {
-            "relevant_date": F.col("last_event"),
-            "days_inactive": idle.cast("int"),
-            "signed_count": F.col("signed_count"),
-        },
-    )
 
+_CHURNED_WITHOUT_SIGNED = _ClientCheck(
+    "churned_count > 0 AND signed_count = 0",
+    "'Client churned without ever signing'",
+    {
+        "relevant_date": "first_churned",
+        "signed_count": "signed_count",
+        "churned_count": "churned_count",
+    },
+)
 
-def _signed_without_applied() -> _ClientCheck:
-    return _ClientCheck(
-        (F.col("signed_count") > 0) & (F.col("applied_count") == 0),
-        F.lit("Client signed without applying first"),
-        {
-            "relevant_date": F.col("first_signed"),
-            "applied_count": F.col("applied_count"),
-            "signed_count": F.col("signed_count"),
-        },
-    )
+_SIGNED_WITHOUT_APPLIED = _ClientCheck(
+    "signed_count > 0 AND applied_count = 0",
+    "'Client signed without applying first'",
+    {
+        "relevant_date": "first_signed",
+        "applied_count": "applied_count",
+        "signed_count": "signed_count",
+    },
+)
 
+_MULTIPLE_APPLICATIONS = _ClientCheck(
+    "applied_count > 1",
+    "'Client has multiple application events'",
+    {
+        "relevant_date": "first_applied",
+        "application_count": "applied_count",
+        "date_range_days": f"cast({elapsed_days_sql('first_applied', 'last_applied')} AS int)",
+    },
+)
 
-def _multiple_applications() -> _ClientCheck:
-    return _ClientCheck(
-        F.col("applied_count") > 1,
-        F.lit("Client has multiple application events"),
-        {
-            "relevant_date": F.col("first_applied"),
-            "application_count": F.col("applied_count"),
-            "date_range_days": elapsed_days(F.col("first_applied"), F.col("last_applied")).cast(
-                "int"
-            ),
-        },
-    )
+_DOCS_PATTERN = _ClientCheck(
+    "applied_count > 0",
+    f"""CASE WHEN docs_count > 0 THEN '{HAS_DOCS}'
+             WHEN signed_count > 0 THEN '{SIGNED_WITHOUT_DOCS}'
+             WHEN rejected_count = 0 THEN '{PENDING_WITHOUT_DOCS}'
+             ELSE '{OTHER_DOCS_PATTERN}' END""",
+    {
+        "applied_count": "applied_count",
+        "docs_count": "docs_count",
+        "signed_count": "signed_count",
+        "rejected_count": "rejected_count",
+        "first_applied": "first_applied",
+        "first_signed": "first_signed",
+    },
+)
 
+# Condition, name and description of each violation; the first that holds counts.
+# Comparisons with a missing date do not hold.
+_VIOLATIONS = (
+    ("first_signed < first_applied", "signed_before_applied", "Client signed before applying"),
+    (
+        "first_docs < first_applied",
+        "docs_submitted_before_applied",
+        "Client submitted docs before applying",
+    ),
+    (
+        "first_rejected < first_applied",
+        "rejected_before_applied",
+        "Client was rejected before applying",
+    ),
+    ("first_churned < first_signed", "churned_before_signed", "Client churned before signing"),
+)
 
-def _sequence() -> _ClientCheck:
-    """The first matching violation of a client; comparisons with a missing date do not match."""
-    violations = (
-        (
-            F.col("first_signed") < F.col("first_applied"),
-            "signed_before_applied",
-            "Client signed before applying",
-        ),
-        (
-            F.col("first_docs") < F.col("first_applied"),
-            "docs_submitted_before_applied",
-            "Client submitted docs before applying",
-        ),
-        (
-            F.col("first_rejected") < F.col("first_applied"),
-            "rejected_before_applied",
-            "Client was rejected before applying",
-        ),
-        (
-            F.col("first_churned") < F.col("first_signed"),
-            "churned_before_signed",
-            "Client churned before signing",
-        ),
-    )
-    violation_type = F.coalesce(*[F.when(cond, F.lit(name)) for cond, name, _ in violations])
-    return _ClientCheck(
-        violation_type.isNotNull(),
-        F.coalesce(*[F.when(cond, F.lit(text)) for cond, _, text in violations]),
-        {
-            "violation_type": violation_type,
-            "first_applied_date": F.col("first_applied"),
-            "first_signed_date": F.col("first_signed"),
-            "first_docs_date": F.col("first_docs"),
-            "first_rejected_date": F.col("first_rejected"),
-            "first_churned_date": F.col("first_churned"),
-        },
-    )
+_SEQUENCE = _ClientCheck(
+    " OR ".join(f"coalesce({condition}, false)" for condition, _, _ in _VIOLATIONS),
+    "CASE " + " ".join(f"WHEN {c} THEN '{text}'" for c, _, text in _VIOLATIONS) + " END",
+    {
+        "violation_type": "CASE "
+        + " ".join(f"WHEN {c} THEN '{name}'" for c, name, _ in _VIOLATIONS)
+        + " END",
+        "first_applied_date": "first_applied",
+        "first_signed_date": "first_signed",
+        "first_docs_date": "first_docs",
+        "first_rejected_date": "first_rejected",
+        "first_churned_date": "first_churned",
+    },
+)
 
 
-def _docs_pattern() -> _ClientCheck:
-    docs, signed, rejected = F.col("docs_count"), F.col("signed_count"), F.col("rejected_count")
+def _long_inactive(as_of: datetime | str) -> _ClientCheck:
+    idle = elapsed_days_sql("last_event", as_of_literal(as_of))
     return _ClientCheck(
-        F.col("applied_count") > 0,
-        F.when((docs == 0) & (signed > 0), SIGNED_WITHOUT_DOCS)
-        .when((docs == 0) & (rejected == 0), PENDING_WITHOUT_DOCS)
-        .when(docs > 0, HAS_DOCS)
-        .otherwise(OTHER_DOCS_PATTERN),
+        f"signed_count = 0 AND {idle} > {LONG_INACTIVE_DAYS}",
+        "'Unsigned client with long inactivity (>60 days) - potential at-risk'",
         {
-            "applied_count": F.col("applied_count"),
-            "docs_count": docs,
-            "signed_count": signed,
-            "rejected_count": rejected,
-            "first_applied": F.col("first_applied"),
-            "first_signed": F.col("first_signed"),
+            "relevant_date": "last_event",
+            "days_inactive": f"cast({idle} AS int)",
+            "signed_count": "signed_count",
         },
     )
 
@@ -171,17 +156,17 @@ def _single(events: DataFrame, finding_type: str, check: _ClientCheck) -> DataFr
     return (
         client_profile(events)
         .where(check.fires)
-        .select(
+        .selectExpr(
             "client_id",
-            F.lit(finding_type).alias("inconsistency_type"),
-            check.description.alias("description"),
-            *[c.alias(name) for name, c in check.fields.items()],
+            f"'{finding_type}' AS inconsistency_type",
+            f"{check.description} AS description",
+            *[f"{sql} AS {name}" for name, sql in check.fields.items()],
         )
     )
 
 
 def churned_without_signed(events: DataFrame) -> DataFrame:
-    return _single(events, CHURNED_WITHOUT_SIGNED, _churned_without_signed())
+    return _single(events, CHURNED_WITHOUT_SIGNED, _CHURNED_WITHOUT_SIGNED)
 
 
 def long_inactive_unsigned(events: DataFrame, as_of: datetime | str) -> DataFrame:
@@ -189,19 +174,19 @@ def long_inactive_unsigned(events: DataFrame, as_of: datetime | str) -> DataFram
 
 
 def signed_without_applied(events: DataFrame) -> DataFrame:
-    return _single(events, SIGNED_WITHOUT_APPLIED, _signed_without_applied())
+    return _single(events, SIGNED_WITHOUT_APPLIED, _SIGNED_WITHOUT_APPLIED)
 
 
 def multiple_applications(events: DataFrame) -> DataFrame:
-    return _single(events, MULTIPLE_APPLICATIONS, _multiple_applications())
+    return _single(events, MULTIPLE_APPLICATIONS, _MULTIPLE_APPLICATIONS)
 
 
 def sequence_violations(events: DataFrame) -> DataFrame:
-    return _single(events, SEQUENCE_VIOLATION, _sequence())
+    return _single(events, SEQUENCE_VIOLATION, _SEQUENCE)
 
 
 def docs_submitted_pattern(events: DataFrame) -> DataFrame:
-    return _single(events, DOCS_PATTERN, _docs_pattern())
+    return _single(events, DOCS_PATTERN, _DOCS_PATTERN)
 
 
 def unknown_values(events: DataFrame, strict: bool = False) -> DataFrame:
@@ -335,31 +320,30 @@ def inconsistencies(events: DataFrame, as_of: datetime | str) -> DataFrame:
     listed once per finding.
     """
     checks = {
-        CHURNED_WITHOUT_SIGNED: _churned_without_signed(),
+        CHURNED_WITHOUT_SIGNED: _CHURNED_WITHOUT_SIGNED,
         LONG_INACTIVE: _long_inactive(as_of),
-        SIGNED_WITHOUT_APPLIED: _signed_without_applied(),
-        MULTIPLE_APPLICATIONS: _multiple_applications(),
-        SEQUENCE_VIOLATION: _sequence(),
-        DOCS_PATTERN: _docs_pattern(),
+        SIGNED_WITHOUT_APPLIED: _SIGNED_WITHOUT_APPLIED,
+        MULTIPLE_APPLICATIONS: _MULTIPLE_APPLICATIONS,
+        SEQUENCE_VIOLATION: _SEQUENCE,
+        DOCS_PATTERN: _DOCS_PATTERN,
     }
-    fired = F.array(*[F.when(check.fires, F.lit(name)) for name, check in checks.items()])
+    fired = ", ".join(f"CASE WHEN {c.fires} THEN '{name}' END" for name, c in checks.items())
 
-    def of_check(column_of: dict[str, Column]) -> Column:
-        return F.coalesce(
-            *[F.when(F.col("inconsistency_type") == n, c) for n, c in column_of.items()]
-        )
+    def of_check(sql_of: dict[str, str]) -> str:
+        cases = [f"WHEN '{name}' THEN {sql}" for name, sql in sql_of.items()]
+        return f"CASE inconsistency_type {' '.join(cases)} END"
 
     fields = dict.fromkeys(f for check in checks.values() for f in check.fields)
     by_client = (
         client_profile(events)
-        .withColumn("inconsistency_type", F.explode(fired))
-        .where(F.col("inconsistency_type").isNotNull())
-        .select(
+        .selectExpr("*", f"explode(array({fired})) AS inconsistency_type")
+        .where("inconsistency_type IS NOT NULL")
+        .selectExpr(
             "client_id",
             "inconsistency_type",
-            of_check({n: c.description for n, c in checks.items()}).alias("description"),
+            of_check({n: c.description for n, c in checks.items()}) + " AS description",
             *[
-                of_check({n: c.fields[f] for n, c in checks.items() if f in c.fields}).alias(f)
+                of_check({n: c.fields[f] for n, c in checks.items() if f in c.fields}) + f" AS {f}"
                 for f in fields
             ],
         )
@@ -367,7 +351,9 @@ def inconsistencies(events: DataFrame, as_of: datetime | str) -> DataFrame:
     union = by_client.unionByName(unknown_values(events), allowMissingColumns=True).unionByName(
         plan_changes(events), allowMissingColumns=True
     )
-    return union.select(*[F.col(f.name).cast(f.dataType) for f in FINDINGS_SCHEMA])
+    return union.selectExpr(
+        *[f"cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in FINDINGS_SCHEMA]
+    )
 
 
 def in_report_order(findings: DataFrame) -> DataFrame:

@@ -101,8 +101,8 @@ def client_churn(events: DataFrame, as_of: datetime | str, dedup: bool = False)
     return churn_last_type(events, dedup).select(
         "*",
         F.col("churned_date").isNotNull().cast("int").alias("is_churned"),
-        elapsed_days(F.col("last_event_date"), now).alias("days_since_last_event"),
-        elapsed_days(F.col("signed_date"), now).alias("days_since_signed"),
+        elapsed_days("last_event_date", now).alias("days_since_last_event"),
+        elapsed_days("signed_date", now).alias("days_since_signed"),
     )
 
 

@@ -125,7 +125,7 @@ def funnel_insights(metrics: DataFrame) -> DataFrame:
 
 def stage_durations(funnel: DataFrame) -> DataFrame:
     """Whole days per client and transition, where both dates are known."""
-    rows = [(stage, whole_days(F.col(a), F.col(b))) for stage, a, b in TRANSITIONS]
+    rows = [(stage, whole_days(a, b)) for stage, a, b in TRANSITIONS]
     return to_rows(funnel, ["stage", "days"], rows, keep=["client_id"]).where(
         F.col("days").isNotNull()
     )
@@ -181,8 +181,8 @@ def journey_types(funnel: DataFrame) -> DataFrame:
 
 def funnel_client_table(funnel: DataFrame) -> DataFrame:
     """Stage dates per client as text, earliest application first, no application last."""
-    days_to_sign = whole_days(F.col("applied_date"), F.col("signed_date"))
-    days_to_churn = whole_days(F.col("signed_date"), F.col("churned_date"))
+    days_to_sign = whole_days("applied_date", "signed_date")
+    days_to_churn = whole_days("signed_date", "churned_date")
     dates = ["applied_date", "docs_submitted_date", "rejected_date", "signed_date", "churned_date"]
     return funnel.orderBy(F.asc_nulls_last(F.col("applied_date").cast("date")), "client_id").select(
         F.col("client_id").cast("string").alias("client_id"),

@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clienttrail.schema import APPLIED, CHURNED, DOCS_SUBMITTED, REJECTED, SIGNED
 
+_TYPES = {
+    "applied": APPLIED,
+    "docs": DOCS_SUBMITTED,
+    "rejected": REJECTED,
+    "signed": SIGNED,
+    "churned": CHURNED,
+}
+_COLUMNS = (
+    *[f"count_if(event_type = '{t}') AS {n}_count" for n, t in _TYPES.items()],
+    *[f"min(CASE WHEN event_type = '{t}' THEN event_date END) AS first_{n}" for n, t in _TYPES.items()],
+    *[f"max(CASE WHEN event_type = '{t}' THEN event_date END) AS last_{n}" for n, t in _TYPES.items()],
+    "max(event_date) AS last_event",
+)
+
 
 def client_profile(events: DataFrame) -> DataFrame:
     """Per-client event counts and first and last dates.
@@ -14,26 +28,4 @@ def client_profile(events: DataFrame) -> DataFrame:
     One hash aggregation, combined before its only shuffle, whose buffers are all of fixed width.
     Columns nobody reads are pruned from it, so every operator can start from this one.
     """
-
-    def is_type(event_type: str) -> Column:
-        return F.col("event_type") == event_type
-
-    def date_of(event_type: str) -> Column:
-        return F.when(is_type(event_type), F.col("event_date"))
-
-    return events.groupBy("client_id").agg(
-        F.count_if(is_type(APPLIED)).alias("applied_count"),
-        F.count_if(is_type(DOCS_SUBMITTED)).alias("docs_count"),
-        F.count_if(is_type(REJECTED)).alias("rejected_count"),
-        F.count_if(is_type(SIGNED)).alias("signed_count"),
-        F.count_if(is_type(CHURNED)).alias("churned_count"),
-        F.min(date_of(APPLIED)).alias("first_applied"),
-        F.min(date_of(DOCS_SUBMITTED)).alias("first_docs"),
-        F.min(date_of(REJECTED)).alias("first_rejected"),
-        F.min(date_of(SIGNED)).alias("first_signed"),
-        F.min(date_of(CHURNED)).alias("first_churned"),
-        F.max(date_of(APPLIED)).alias("last_applied"),
-        F.max(date_of(SIGNED)).alias("last_signed"),
-        F.max(date_of(CHURNED)).alias("last_churned"),
-        F.max("event_date").alias("last_event"),
-    )
+    return events.groupBy("client_id").agg(*map(F.expr, _COLUMNS))

@@ -47,7 +47,7 @@ def test_elapsed_days_floor(spark):
         (TIMESTAMP_NTZ'2023-01-01 00:00:00.000001', TIMESTAMP_NTZ'2023-01-03 00:00:00')
         AS t(a, b)"""
     )
-    assert [r[0] for r in df.select(whole_days(F.col("a"), F.col("b"))).collect()] == [0, -1, -2, 1]
+    assert [r[0] for r in df.select(whole_days("a", "b")).collect()] == [0, -1, -2, 1]
 
 
 def test_elapsed_days_ignore_the_session_zone(spark):
@@ -57,7 +57,7 @@ def test_elapsed_days_ignore_the_session_zone(spark):
         df = spark.sql(
             "SELECT TIMESTAMP_NTZ'2023-03-11 12:00:00' a, TIMESTAMP_NTZ'2023-03-12 12:00:00' b"
         )
-        assert df.select(elapsed_days(F.col("a"), F.col("b"))).first()[0] == 1.0
+        assert df.select(elapsed_days("a", "b")).first()[0] == 1.0
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
 
