@@ -39,8 +39,13 @@ def with_event_rank(
     return ordinary.unionByName(_rank_hot(events, hot, slice_rows, copies_per_task_row))
 
 
+def _tie_break(columns: list[str]) -> Column:
+    """Orders rows that agree in date and record id, so that only exact copies are tied."""
+    return F.xxhash64(*[c for c in columns if c not in (*GROUP, *ORDER)])
+
+
 def _rank_whole(events: DataFrame) -> DataFrame:
-    in_group = Window.partitionBy(*GROUP).orderBy(*ORDER)
+    in_group = Window.partitionBy(*GROUP).orderBy(*ORDER, _tie_break(events.columns))
     return events.withColumn("event_rank", F.row_number().over(in_group).cast("bigint"))
 
 
@@ -48,14 +53,13 @@ def _rank_hot(
     events: DataFrame, hot: DataFrame, slice_rows: int, copies_per_task_row: int
 ) -> DataFrame:
     columns = events.columns
-    rest = [c for c in columns if c not in (*GROUP, *ORDER)]
 
     # Exact copies of a row would all land in one slice, so they travel as one row and a count.
     rows = (
         join_hot(events, hot, GROUP, "left_semi")
         .groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_key", F.struct(*ORDER, F.xxhash64(*rest).alias("_tie")))
+        .withColumn("_key", F.struct(*ORDER, _tie_break(columns).alias("_tie")))
     )
 
     # About one row in `slice_rows` is a limit: as many in all as there are slices.

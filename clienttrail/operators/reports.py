@@ -212,7 +212,10 @@ def problem_events(findings: DataFrame, ordered: bool = True) -> DataFrame:
         "record_id",
     )
     if ordered:
-        shown = shown.orderBy("issue_type", "client_id", "record_id")
+        # The row number lets the sort spread copies of one record, too, over several tasks.
+        shown = shown.orderBy(
+            "issue_type", "client_id", "record_id", F.monotonically_increasing_id()
+        )
     return shown.select(F.col("client_id").cast("string").alias("client_id"), *names, "description")
 
 
