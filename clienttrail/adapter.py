@@ -24,9 +24,9 @@ FIELDS = {
     "event_type": """CASE event_type WHEN 'signup' THEN 'applied' WHEN 'view' THEN 'docs_submitted'
         WHEN 'error' THEN 'rejected' WHEN 'purchase' THEN 'signed'
         WHEN 'click' THEN 'churned' END""",
-    # 30 days stretched to 90.
-    "event_date": """CASE WHEN k <> 99 THEN date_add(DATE '2024-01-01', cast(floor(timestampdiff(
-        SECOND, TIMESTAMP_NTZ '2024-01-01', date_trunc('SECOND', ts)) / 28800) AS int)) END""",
+    # One day per 8 hours since the start: 30 days stretched to 90.
+    "event_date": """CASE WHEN k <> 99 THEN date_add(DATE '2024-01-01',
+        cast(datediff(ts, DATE '2024-01-01') * 3 + hour(ts) div 8 AS int)) END""",
     "plan": "CASE WHEN k % 10 <> 0 THEN elt(k % 3 + 1, 'basic', 'pro', 'premium') END",
     "region": "CASE WHEN k % 13 <> 0 THEN r_name END",
     "marketing_channel": """CASE WHEN k % 17 <> 0 THEN

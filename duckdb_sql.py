@@ -90,9 +90,9 @@ _CTES = {
                max(event_date) FILTER (event_type = 'churned') AS churned_date
         FROM staged GROUP BY client_id""",
     "last_types": """
-        SELECT l.*, s.event_type AS last_event_type
-        FROM last_events l LEFT JOIN staged s
-          ON l.client_id = s.client_id AND l.last_event_date = s.event_date AND s.event_rank = 1""",
+        SELECT * FROM last_events LEFT JOIN (
+            SELECT client_id, event_date AS last_event_date, event_type AS last_event_type
+            FROM staged WHERE event_rank = 1) USING (client_id, last_event_date)""",
     "churn": f"""
         SELECT *, CASE WHEN churned_date IS NOT NULL THEN 1 ELSE 0 END AS is_churned,
                date_diff('microsecond', last_event_date, {AS_OF}) / 86400000000.0
@@ -156,42 +156,36 @@ _CTES = {
         WHERE signed_count = 0 AND idle > 60""",
     "unknown_values": """
         SELECT client_id, record_id, event_type, event_date,
-               'unknown_values' AS inconsistency_type,
-               CASE WHEN plan = 'Unknown' THEN 'Plan field has Unknown value'
-                    WHEN sales_rep_id = -1 THEN 'Sales rep ID is -1 (missing/unknown)'
-                    WHEN region IS NULL OR region = '' THEN 'Region field is missing'
-                    WHEN marketing_channel IS NULL OR marketing_channel = ''
-                         THEN 'Marketing channel is missing'
-                    ELSE 'Source system is missing' END AS description,
+               'unknown_values' AS inconsistency_type, reason AS description,
                plan, sales_rep_id, region, marketing_channel, source_system
-        FROM staged
-        WHERE plan = 'Unknown' OR sales_rep_id = -1 OR region IS NULL OR region = ''
-           OR marketing_channel IS NULL OR marketing_channel = ''
-           OR source_system IS NULL OR source_system = ''""",
+        FROM (SELECT *, coalesce(
+                if(plan = 'Unknown', 'Plan field has Unknown value', NULL),
+                if(sales_rep_id = -1, 'Sales rep ID is -1 (missing/unknown)', NULL),
+                if(coalesce(region, '') = '', 'Region field is missing', NULL),
+                if(coalesce(marketing_channel, '') = '', 'Marketing channel is missing', NULL),
+                if(coalesce(source_system, '') = '', 'Source system is missing', NULL)) AS reason
+              FROM staged)
+        WHERE reason IS NOT NULL""",
     "sequence": """
-        SELECT client_id, 'sequence_violation' AS inconsistency_type,
-               CASE violation_type
-                    WHEN 'signed_before_applied' THEN 'Client signed before applying'
-                    WHEN 'docs_submitted_before_applied' THEN 'Client submitted docs before applying'
-                    WHEN 'rejected_before_applied' THEN 'Client was rejected before applying'
-                    ELSE 'Client churned before signing' END AS description,
-               violation_type, applied_date AS first_applied_date, signed_date AS first_signed_date,
+        SELECT client_id, 'sequence_violation' AS inconsistency_type, description, violation_type,
+               applied_date AS first_applied_date, signed_date AS first_signed_date,
                docs_submitted_date AS first_docs_date, rejected_date AS first_rejected_date,
                churned_date AS first_churned_date
-        FROM (SELECT *, CASE WHEN signed_date < applied_date THEN 'signed_before_applied'
-                             WHEN docs_submitted_date < applied_date
-                                  THEN 'docs_submitted_before_applied'
-                             WHEN rejected_date < applied_date THEN 'rejected_before_applied'
-                             WHEN churned_date < signed_date THEN 'churned_before_signed'
-                        END AS violation_type FROM funnel)
-        WHERE violation_type IS NOT NULL""",
+        FROM (SELECT *, least(if(signed_date < applied_date, 1, NULL),
+                              if(docs_submitted_date < applied_date, 2, NULL),
+                              if(rejected_date < applied_date, 3, NULL),
+                              if(churned_date < signed_date, 4, NULL)) AS n
+              FROM funnel)
+        JOIN (VALUES (1, 'signed_before_applied', 'Client signed before applying'),
+                     (2, 'docs_submitted_before_applied', 'Client submitted docs before applying'),
+                     (3, 'rejected_before_applied', 'Client was rejected before applying'),
+                     (4, 'churned_before_signed', 'Client churned before signing'))
+             AS v(n, violation_type, description) USING (n)""",
     "docs_pattern": """
         SELECT client_id, 'docs_submitted_analysis' AS inconsistency_type,
-               CASE WHEN docs_count = 0 AND signed_count > 0
-                         THEN 'Applied and signed without docs submission'
-                    WHEN docs_count = 0 AND signed_count = 0 AND rejected_count = 0
-                         THEN 'Applied but no docs submission (still pending?)'
-                    WHEN docs_count > 0 THEN 'Has docs submission event'
+               CASE WHEN docs_count > 0 THEN 'Has docs submission event'
+                    WHEN signed_count > 0 THEN 'Applied and signed without docs submission'
+                    WHEN rejected_count = 0 THEN 'Applied but no docs submission (still pending?)'
                     ELSE 'Other pattern' END AS description,
                applied_count, docs_count, signed_count, rejected_count, first_applied, first_signed
         FROM (SELECT client_id, count(*) FILTER (event_type = 'applied') AS applied_count,
@@ -200,8 +194,7 @@ _CTES = {
                      count(*) FILTER (event_type = 'rejected') AS rejected_count,
                      min(event_date) FILTER (event_type = 'applied') AS first_applied,
                      min(event_date) FILTER (event_type = 'signed') AS first_signed
-              FROM staged GROUP BY client_id)
-        WHERE applied_count > 0""",
+              FROM staged GROUP BY client_id HAVING applied_count > 0)""",
     "plan_changes": """
         SELECT client_id, 'plan_inconsistency' AS inconsistency_type,
                'Client has multiple different plans across events' AS description,
@@ -212,7 +205,7 @@ _CTES = {
     "distribution": """
         SELECT event_type, count(*) AS event_count, count(DISTINCT client_id) AS unique_clients,
                min(event_date) AS earliest_date, max(event_date) AS latest_date,
-               round(avg(CAST(sales_rep_id AS DOUBLE)), 2) AS avg_sales_rep_id,
+               round(avg(sales_rep_id), 2) AS avg_sales_rep_id,
                string_agg(DISTINCT plan, ',' ORDER BY plan) AS plans_involved,
                string_agg(DISTINCT region, ',' ORDER BY region) AS regions_involved
         FROM staged GROUP BY event_type""",
@@ -554,17 +547,17 @@ def statements() -> dict[str, str]:
     sql["chk_unknown_values_strict"] = _with(
         ["staged"],
         """SELECT client_id, record_id, event_type, event_date,
-                  'unknown_values' AS inconsistency_type,
-                  CASE WHEN plan = 'Unknown' THEN 'Plan field has Unknown value'
-                       WHEN sales_rep_id = -1 THEN 'Sales rep ID is -1 (missing/unknown)'
-                       WHEN coalesce(region, '') IN ('', 'unknown') THEN 'Region field is missing'
-                       WHEN marketing_channel IN ('', 'unknown') THEN 'Marketing channel is missing'
-                       ELSE 'Source system is missing' END AS description,
+                  'unknown_values' AS inconsistency_type, reason AS description,
                   plan, sales_rep_id, region, marketing_channel, source_system
-           FROM staged
-           WHERE plan = 'Unknown' OR sales_rep_id = -1
-              OR coalesce(region, '') IN ('', 'unknown')
-              OR marketing_channel IN ('', 'unknown') OR source_system IN ('', 'unknown')""",
+           FROM (SELECT *, coalesce(
+                   if(plan = 'Unknown', 'Plan field has Unknown value', NULL),
+                   if(sales_rep_id = -1, 'Sales rep ID is -1 (missing/unknown)', NULL),
+                   if(coalesce(region, 'unknown') IN ('', 'unknown'),
+                      'Region field is missing', NULL),
+                   if(marketing_channel IN ('', 'unknown'), 'Marketing channel is missing', NULL),
+                   if(source_system IN ('', 'unknown'), 'Source system is missing', NULL)) AS reason
+                 FROM staged)
+           WHERE reason IS NOT NULL""",
     )
     sql["chk_sequence"] = _all("sequence")
     sql["chk_docs_pattern"] = _all("docs_pattern")
