@@ -53,12 +53,13 @@ def lifecycle_events(spark: SparkSession, sf_dir: str, with_region: bool = True)
         "k", F.expr("""cast(regexp_extract(props, '"k": *([0-9]+)') AS bigint)""")
     )
     if with_region:
+        customer = _read(spark, sf_dir, "customer", CUSTOMER)
+        nation = _read(spark, sf_dir, "nation", NATION)
+        region = _read(spark, sf_dir, "region", REGION)
         events = (
-            events.join(
-                _read(spark, sf_dir, "customer", CUSTOMER), F.expr("user_id = c_custkey"), "left"
-            )
-            .join(_read(spark, sf_dir, "nation", NATION), F.expr("c_nationkey = n_nationkey"), "left")
-            .join(_read(spark, sf_dir, "region", REGION), F.expr("n_regionkey = r_regionkey"), "left")
+            events.join(customer, F.expr("user_id = c_custkey"), "left")
+            .join(nation, F.expr("c_nationkey = n_nationkey"), "left")
+            .join(region, F.expr("n_regionkey = r_regionkey"), "left")
         )
     else:
         events = events.withColumn("r_name", F.lit(None).cast("string"))

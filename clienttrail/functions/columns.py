@@ -43,7 +43,7 @@ def null_if_token(col: Column, tokens: Iterable[str]) -> Column:
 
 
 def title_case(col: Column) -> Column:
-    """Capitalise every run of letters, also after digits and punctuation (`pro-plus` -> `Pro-Plus`).
+    """Capitalise every run of letters, also after digits and punctuation: `Pro-Plus`.
 
     `initcap` only looks at spaces, so it is used where that is enough.
     """

@@ -7,7 +7,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clienttrail.functions import as_of_literal, date_text, elapsed_days, month_text, percent_text, ratio
+from clienttrail.functions import (
+    as_of_literal,
+    date_text,
+    elapsed_days,
+    month_text,
+    percent_text,
+    ratio,
+)
 from clienttrail.operators.profile import client_profile
 from clienttrail.operators.shape import to_rows
 from clienttrail.schema import APPLIED, CHURNED, SIGNED

@@ -94,7 +94,8 @@ def funnel_summary(metrics: DataFrame) -> DataFrame:
     """The summary table: metric name and its value as text."""
 
     def share(count: str, rate: str):
-        return F.concat(F.col(count).cast("string"), F.lit(" ("), percent_text(F.col(rate)), F.lit(")"))
+        percent = percent_text(F.col(rate))
+        return F.concat(F.col(count).cast("string"), F.lit(" ("), percent, F.lit(")"))
 
     return to_rows(
         metrics,

@@ -14,10 +14,13 @@ _TYPES = {
     "signed": SIGNED,
     "churned": CHURNED,
 }
+_PER_TYPE = (
+    "count_if(event_type = '{type}') AS {name}_count",
+    "min(CASE WHEN event_type = '{type}' THEN event_date END) AS first_{name}",
+    "max(CASE WHEN event_type = '{type}' THEN event_date END) AS last_{name}",
+)
 _COLUMNS = (
-    *[f"count_if(event_type = '{t}') AS {n}_count" for n, t in _TYPES.items()],
-    *[f"min(CASE WHEN event_type = '{t}' THEN event_date END) AS first_{n}" for n, t in _TYPES.items()],
-    *[f"max(CASE WHEN event_type = '{t}' THEN event_date END) AS last_{n}" for n, t in _TYPES.items()],
+    *[sql.format(name=n, type=t) for sql in _PER_TYPE for n, t in _TYPES.items()],
     "max(event_date) AS last_event",
 )
 

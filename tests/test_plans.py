@@ -83,3 +83,15 @@ def test_no_cross_join_and_no_python(spark, name):
     text = plan(entry.queries()[name](spark, SF_DIR))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
         assert operator not in text
+
+
+def test_large_groups_join_by_hash_and_are_read_once_more(table):
+    events = table.drop("event_rank")
+    ranked = ranking.with_event_rank(events, hot_rows=3, slice_rows=2)
+    text = plan(ranked)
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    ranked.collect()
+    final = plan(ranked).split("Initial Plan")[0]
+    # Ordinary rows, and the rows of large groups once for all three uses.
+    scans = [line for line in final.splitlines() if "FileScan" in line]
+    assert len(scans) <= 2

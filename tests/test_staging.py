@@ -141,3 +141,10 @@ def test_empty_input(spark):
     staged = staging.stage_events(text_rows(spark, {}).limit(0))
     assert staged.count() == 0
     assert dict(staged.dtypes)["event_rank"] == "bigint"
+
+
+def test_csv_files_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("client_id,record_id\n1,2\n")
+    (tmp_path / "b.csv").write_text("record_id,client_id\n2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, str(tmp_path)).collect()
