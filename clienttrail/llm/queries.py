@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clienttrail.llm.packing import op5_best_fit_packing
 from clienttrail.llm.simhash import op7_simhash_blocks
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_best_fit_packing": op5_best_fit_packing,
         "op7_simhash_blocks": op7_simhash_blocks,
     }
 
