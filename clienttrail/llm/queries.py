@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clienttrail.llm.langid import op9_string_kernel_language
 from clienttrail.llm.packing import op5_best_fit_packing
 from clienttrail.llm.simhash import op7_simhash_blocks
 
@@ -14,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_simhash_blocks": op7_simhash_blocks,
+        "op9_string_kernel_language": op9_string_kernel_language,
     }
 
 
