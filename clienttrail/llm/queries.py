@@ -10,11 +10,14 @@ from clienttrail.llm.langid import op9_string_kernel_language
 from clienttrail.llm.packing import op5_best_fit_packing
 from clienttrail.llm.simhash import op7_simhash_blocks
 
+from clienttrail.llm.substring import op10_fm_substring_dedup
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_simhash_blocks": op7_simhash_blocks,
+        "op10_fm_substring_dedup": op10_fm_substring_dedup,
         "op9_string_kernel_language": op9_string_kernel_language,
     }
 
