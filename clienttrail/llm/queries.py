@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from clienttrail.llm.langid import op9_string_kernel_language
+from clienttrail.llm.mixing import op4_soft_mixing
 from clienttrail.llm.packing import op5_best_fit_packing
 from clienttrail.llm.simhash import op7_simhash_blocks
 
@@ -15,10 +17,12 @@ from clienttrail.llm.substring import op10_fm_substring_dedup
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_soft_mixing": op4_soft_mixing,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_simhash_blocks": op7_simhash_blocks,
         "op10_fm_substring_dedup": op10_fm_substring_dedup,
         "op9_string_kernel_language": op9_string_kernel_language,
+        "pipeline": corpus_pipeline.run,
     }
 
 
