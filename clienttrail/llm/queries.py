@@ -11,17 +11,18 @@ from clienttrail.llm.langid import op9_string_kernel_language
 from clienttrail.llm.mixing import op4_soft_mixing
 from clienttrail.llm.packing import op5_best_fit_packing
 from clienttrail.llm.simhash import op7_simhash_blocks
-
 from clienttrail.llm.substring import op10_fm_substring_dedup
+from clienttrail.llm.token_output import op3_packed_matrices
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_packed_matrices": op3_packed_matrices,
         "op4_soft_mixing": op4_soft_mixing,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_simhash_blocks": op7_simhash_blocks,
-        "op10_fm_substring_dedup": op10_fm_substring_dedup,
         "op9_string_kernel_language": op9_string_kernel_language,
+        "op10_fm_substring_dedup": op10_fm_substring_dedup,
         "pipeline": corpus_pipeline.run,
     }
 
