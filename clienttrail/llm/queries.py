@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clienttrail.llm.langid import op9_string_kernel_language
 from clienttrail.llm.mixing import op4_soft_mixing
 from clienttrail.llm.packing import op5_best_fit_packing
+from clienttrail.llm.quality import op1_mcd_quality
 from clienttrail.llm.simhash import op7_simhash_blocks
 from clienttrail.llm.substring import op10_fm_substring_dedup
 from clienttrail.llm.token_output import op3_packed_matrices
@@ -17,6 +18,7 @@ from clienttrail.llm.token_output import op3_packed_matrices
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mcd_quality": op1_mcd_quality,
         "op3_packed_matrices": op3_packed_matrices,
         "op4_soft_mixing": op4_soft_mixing,
         "op5_best_fit_packing": op5_best_fit_packing,
