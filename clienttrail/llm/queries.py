@@ -7,6 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from clienttrail.llm.html_text import op2_text_density
 from clienttrail.llm.langid import op9_string_kernel_language
 from clienttrail.llm.mixing import op4_soft_mixing
 from clienttrail.llm.packing import op5_best_fit_packing
@@ -19,6 +20,7 @@ from clienttrail.llm.token_output import op3_packed_matrices
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mcd_quality": op1_mcd_quality,
+        "op2_text_density": op2_text_density,
         "op3_packed_matrices": op3_packed_matrices,
         "op4_soft_mixing": op4_soft_mixing,
         "op5_best_fit_packing": op5_best_fit_packing,
