@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words are maximal runs of anything but the six ASCII white-space characters.
@@ -51,6 +51,19 @@ def text_key(text: str = "text") -> list:
     ]
 
 
+def smallest_of_each(df: DataFrame, group: str, count: int, *order) -> DataFrame:
+    """The first count rows of each group in an order that has a hash as its first column.
+
+    Groups are cut down in 64 parts by that hash before the rows of one meet, so that no task reads
+    more than 64 * count rows of a group, however large it is and however many tasks scan it.
+    """
+    first = F.row_number().over(Window.partitionBy(group, "part").orderBy("hash", *order))
+    then = F.row_number().over(Window.partitionBy(group).orderBy("hash", *order))
+    parts = df.withColumn("part", F.pmod(F.col("hash"), F.lit(64)))
+    cut = parts.withColumn("place", first).where(F.col("place") <= count)
+    return cut.withColumn("place", then).where(F.col("place") <= count).drop("place", "part")
+
+
 def one_row_per_document(documents: DataFrame, chosen: DataFrame) -> DataFrame:
     """Rows of documents whose (doc_id, text) is in chosen, one row for each such pair.
 
@@ -61,8 +74,6 @@ def one_row_per_document(documents: DataFrame, chosen: DataFrame) -> DataFrame:
     keys = ["doc_id", "key_a", "key_b"]
     wanted = chosen.select(*[F.col(k).alias(f"wanted_{k}") for k in keys]).distinct()
     same = [F.col(k).eqNullSafe(F.col(f"wanted_{k}")) for k in keys]
-    from pyspark.sql import Window
-
     order = Window.partitionBy(*keys).orderBy(*keys)
     return (
         keyed.join(wanted, same[0] & same[1] & same[2], "left_semi")

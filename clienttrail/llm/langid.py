@@ -15,10 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clienttrail.llm.common import read_table, text_key
+from clienttrail.llm.common import read_table, smallest_of_each, text_key
 
 LONGEST = 4
 PLACES_LOG2 = 18
@@ -123,12 +123,11 @@ def training_rows(documents: DataFrame, per_language: int = TRAIN_ROWS) -> pd.Da
         labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
     )
     labelled = labelled.join(F.broadcast(frequent), "lang")
-    keyed = labelled.select("lang", "doc_id", *text_key())
-    rank = F.row_number().over(
-        Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "key_a"), "doc_id", "key_a", "key_b")
+    keyed = labelled.select("lang", "doc_id", *text_key()).withColumn(
+        "hash", F.xxhash64("doc_id", "key_a")
     )
-    chosen = keyed.withColumn("rank", rank).where(F.col("rank") <= per_language)
-    few = chosen.drop("rank").distinct()
+    few = smallest_of_each(keyed, "lang", per_language, "doc_id", "key_a", "key_b")
+    few = few.drop("hash").distinct()
     # At most per_language * LANGUAGES rows of a few bytes each.
     found = (
         labelled.select("lang", "doc_id", "text", *text_key())

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from clienttrail.llm.html_text import op2_text_density
 from clienttrail.llm.langid import op9_string_kernel_language
 from clienttrail.llm.mixing import op4_soft_mixing
+from clienttrail.llm.neighbours import op6_stable_projections
 from clienttrail.llm.packing import op5_best_fit_packing
 from clienttrail.llm.quality import op1_mcd_quality
 from clienttrail.llm.simhash import op7_simhash_blocks
 from clienttrail.llm.substring import op10_fm_substring_dedup
 from clienttrail.llm.token_output import op3_packed_matrices
+from clienttrail.llm.toxicity import op8_ordinal_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,7 +26,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_packed_matrices": op3_packed_matrices,
         "op4_soft_mixing": op4_soft_mixing,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_stable_projections": op6_stable_projections,
         "op7_simhash_blocks": op7_simhash_blocks,
+        "op8_ordinal_toxicity": op8_ordinal_toxicity,
         "op9_string_kernel_language": op9_string_kernel_language,
         "op10_fm_substring_dedup": op10_fm_substring_dedup,
         "pipeline": corpus_pipeline.run,

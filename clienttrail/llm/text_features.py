@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,50 +11,85 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clienttrail.llm.common import text_key, words_of
+from clienttrail.llm.common import smallest_of_each, text_key, words_of
 
-#: Features: hashed words, and hashed word ends of two bytes.
-FEATURES = 1 << 16
-_EDGES = b".,;:!?\"'()[]"
+#: Features must occur in at least so many rows of the training sample and tell grades apart by so many
+#: standard errors of their log odds; each is known by 63 bits of its hash.
+LEAST_ROWS, LEAST_SIGNAL = 3, 3.0
+#: Characters of word beginnings that are features beside the words.
+BEGINNINGS = (4, 5)
+_EDGES = ".,;:!?\"'()[]"
 
+Rows = list[tuple[np.ndarray, np.ndarray]]
 
-def word_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Indices (rising) and values of a text's features: log counts scaled to length one."""
-    words = [] if text is None else text.encode("utf-8", "replace").lower().split()
-    if not words:
+
+def word_features(
+    text: str | None, beginnings: tuple[int, ...] = BEGINNINGS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (rising) and values of a text's words and word beginnings: log counts scaled to length one.
+
+    Words are lower case and without punctuation at their ends.
+    """
+    counts = Counter((text or "").lower().split())
+    if not counts:
         return np.zeros(0, np.int64), np.zeros(0)
-    digest = xxhash.xxh32_intdigest
-    bare = np.fromiter((digest(w.strip(_EDGES)) for w in words), np.int64, len(words))
-    ends = np.fromiter((digest(w[-2:], 1) for w in words), np.int64, len(words))
-    index, count = np.unique(np.concatenate([bare, ends]) & (FEATURES - 1), return_counts=True)
-    value = np.log1p(count)
+    words = [w.strip(_EDGES) for w in counts]
+    names = list(words)
+    for size in beginnings:
+        names += [f"{size}{w[:size]}" for w in words]
+    digest = xxhash.xxh64_intdigest
+    hashes = np.fromiter((digest(n) >> 1 for n in names), np.int64, len(names))
+    index, place = np.unique(hashes, return_inverse=True)
+    times = np.tile(np.fromiter(counts.values(), float, len(counts)), 1 + len(beginnings))
+    value = np.log1p(np.bincount(place, times))
     return index, value / np.sqrt((value**2).sum())
 
 
-class SparseRows:
-    """Rows of features: products with a matrix, and with its transpose."""
+def telling_features(rows: Rows, grades: np.ndarray) -> np.ndarray:
+    """The hashes, rising, of the features that tell some grade from the others in a labelled sample."""
+    found, count = np.unique(np.concatenate([i for i, _ in rows]), return_counts=True)
+    vocabulary = found[count >= LEAST_ROWS]
+    features = SparseRows(rows, vocabulary)
+    telling = np.zeros(len(vocabulary), bool)
+    for grade in np.unique(grades):
+        own = grades == grade
+        inside = np.bincount(features.index[own[features.row]], minlength=len(vocabulary)) + 0.5
+        outside = np.bincount(features.index[~own[features.row]], minlength=len(vocabulary)) + 0.5
+        here, there = own.sum() + 1 - inside, (~own).sum() + 1 - outside
+        odds = np.log(inside * there / (outside * here))
+        error = np.sqrt(1 / inside + 1 / outside + 1 / here + 1 / there)
+        telling |= np.abs(odds) >= LEAST_SIGNAL * error
+    return vocabulary[telling]
+
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
-        self.sizes = np.array([len(i) for i, _ in rows], np.int64)
-        self.index = np.concatenate([i for i, _ in rows] or [np.zeros(0, np.int64)]).astype(np.int64)
-        self.value = np.concatenate([v for _, v in rows] or [np.zeros(0)])
-        self.row = np.repeat(np.arange(len(rows)), self.sizes)
+class SparseRows:
+    """Rows over a vocabulary: products with a matrix, and with its transpose."""
+
+    def __init__(self, rows: Rows, vocabulary: np.ndarray):
+        sizes = [len(i) for i, _ in rows]
+        hashes = np.concatenate([i for i, _ in rows] or [np.zeros(0, np.int64)])
+        values = np.concatenate([v for _, v in rows] or [np.zeros(0)])
+        place = np.searchsorted(vocabulary, hashes)
+        known = place < len(vocabulary)
+        known[known] = vocabulary[place[known]] == hashes[known]
+        self.count, self.features = len(rows), len(vocabulary)
+        self.index, self.value = place[known], values[known]
+        self.row = np.repeat(np.arange(len(rows)), sizes)[known]
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        """(rows, k) from weights (FEATURES, k)."""
-        out = np.empty((len(self.sizes), weights.shape[1]))
-        for k in range(weights.shape[1]):
-            out[:, k] = np.bincount(
-                self.row, self.value * weights[self.index, k], minlength=len(self.sizes)
-            )
-        return out
+        """(rows, k) from weights (features, k)."""
+        columns = [
+            np.bincount(self.row, self.value * w[self.index], minlength=self.count) for w in weights.T
+        ]
+        return np.column_stack(columns)
 
     def transposed_times(self, values: np.ndarray) -> np.ndarray:
-        """(FEATURES, k) from values (rows, k)."""
-        out = np.empty((FEATURES, values.shape[1]))
-        for k in range(values.shape[1]):
-            out[:, k] = np.bincount(self.index, self.value * values[self.row, k], minlength=FEATURES)
-        return out
+        """(features, k) from values (rows, k)."""
+        columns = [
+            np.bincount(self.index, self.value * v[self.row], minlength=self.features)
+            for v in values.T
+        ]
+        return np.column_stack(columns)
 
 
 def minimize(gradient, parameters: list[np.ndarray], steps: int, rate: float) -> list[np.ndarray]:
@@ -68,19 +104,26 @@ def minimize(gradient, parameters: list[np.ndarray], steps: int, rate: float) ->
     return parameters
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [word_features(t) for t in batch.column("text").to_pylist()]
-        index = pa.array([i for i, _ in rows], pa.list_(pa.int64()))
-        value = pa.array([v for _, v in rows], pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("grade"), index, value], ["grade", "index", "value"]
-        )
+def _features(beginnings: tuple[int, ...]):
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [word_features(t, beginnings) for t in batch.column("text").to_pylist()]
+            index = pa.array([i for i, _ in rows], pa.list_(pa.int64()))
+            value = pa.array([v for _, v in rows], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("grade"), index, value], ["grade", "index", "value"]
+            )
+
+    return features
 
 
 def labelled_sample(
-    documents: DataFrame, labels: DataFrame, grade: Column, rows_of_each: int
-) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]], dict[int, int]]:
+    documents: DataFrame,
+    labels: DataFrame,
+    grade: Column,
+    rows_of_each: int,
+    beginnings: tuple[int, ...] = BEGINNINGS,
+) -> tuple[np.ndarray, Rows, dict[int, int]]:
     """At most rows_of_each labelled documents of each grade, by hash; also how many labels have each.
 
     grade is a column over labels (a small whole number; null: not used). Labels are ranked by ids alone,
@@ -91,10 +134,8 @@ def labelled_sample(
     graded = graded.where("doc_id is not null and grade is not null")
     graded = graded.groupBy("doc_id").agg(F.max("grade").alias("grade"))
     counts = {r["grade"]: r["count"] for r in graded.groupBy("grade").count().collect()}
-    order = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = graded.withColumn("rank", F.row_number().over(order)).where(
-        F.col("rank") <= rows_of_each
-    )
+    hashed = graded.withColumn("hash", F.xxhash64("doc_id"))
+    chosen = smallest_of_each(hashed, "grade", rows_of_each, "doc_id").drop("hash")
     # At most rows_of_each ids for each grade; one text for each id.
     found = (
         documents.where("text is not null")
@@ -107,7 +148,7 @@ def labelled_sample(
         .select("doc_id", "text", "grade")
         .orderBy("doc_id")
     )
-    rows = found.mapInArrow(_features, "grade int, index array<long>, value array<double>").toPandas()
+    rows = found.mapInArrow(_features(beginnings), "grade int, index array<long>, value array<double>").toPandas()
     features = [(np.asarray(i, np.int64), np.asarray(v)) for i, v in zip(rows["index"], rows["value"])]
     return rows["grade"].to_numpy(np.int64), features, counts
 
