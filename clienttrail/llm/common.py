@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words are maximal runs of anything but the six ASCII white-space characters.
@@ -64,20 +64,25 @@ def smallest_of_each(df: DataFrame, group: str, count: int, *order) -> DataFrame
     return cut.withColumn("place", then).where(F.col("place") <= count).drop("place", "part")
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct named row, whatever their names; select row.* to get them back."""
+    return F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row")
+
+
 def one_row_per_document(documents: DataFrame, chosen: DataFrame) -> DataFrame:
     """Rows of documents whose (doc_id, text) is in chosen, one row for each such pair.
 
     chosen has doc_id and the text_key() columns. Nulls match nulls. The semi join and the row number
     share one shuffle.
     """
-    keyed = documents.select("*", *text_key())
+    keyed = documents.select(whole_row(documents), "doc_id", *text_key())
     keys = ["doc_id", "key_a", "key_b"]
     wanted = chosen.select(*[F.col(k).alias(f"wanted_{k}") for k in keys]).distinct()
     same = [F.col(k).eqNullSafe(F.col(f"wanted_{k}")) for k in keys]
     order = Window.partitionBy(*keys).orderBy(*keys)
     return (
         keyed.join(wanted, same[0] & same[1] & same[2], "left_semi")
-        .withColumn("row_of_key", F.row_number().over(order))
-        .where("row_of_key = 1")
-        .select(*documents.columns)
+        .withColumn("copy", F.row_number().over(order))
+        .where("copy = 1")
+        .select("row.*")
     )

@@ -1,6 +1,6 @@
 """Substring deduplication: windows of words that occur more than once, found with FM-indexes.
 
-All windows of one text whose smallest ten-word hash (the anchor) is the same form a segment. Equal
+All windows of one text whose smallest eight-word hash (the anchor) is the same form a segment. Equal
 windows have equal anchors, so segments are dealt to shards by anchor and a window is only ever
 compared within its shard. Anchors that occur once in the corpus are left out, equal segments count as
 one with a weight, and each shard indexes its segments in an FM-index over a wavelet matrix and streams
@@ -20,17 +20,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from clienttrail.llm.common import read_table, stored, text_key, words_of
+from clienttrail.llm.common import read_table, stored, text_key, whole_row, words_of
 from clienttrail.llm.fm_index import FmIndex
 
 WINDOW = 35
-ANCHOR_WORDS = 10
+ANCHOR_WORDS = 8
 #: Words that one shard's index holds on average.
 SHARD_WORDS = 600_000
 #: Different segments of one anchor that one shard takes; windows of larger anchors are counted one by one.
 ANCHOR_SEGMENTS = 10_000
 #: Words of a text looked at together.
 STRETCH = 1 << 17
+#: Bytes of a word's hash that travel to the shards.
+HASH_BYTES = 6
 
 _BASE, _MIX = 0x9E3779B97F4A7C15 | 1, np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -45,6 +47,16 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
+def _packed(hashes: np.ndarray) -> bytes:
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // HASH_BYTES, 8), np.uint8)
+    out[:, :HASH_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, HASH_BYTES)
+    return out.view("<u8")[:, 0].astype(np.uint64)
+
+
 def _powers(base: int, count: int) -> np.ndarray:
     out = np.empty(count, np.uint64)
     out[0] = 1
@@ -154,7 +166,7 @@ def _segment_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     s["segment"],
                     s["copies"],
                     s["windows"],
-                    hashes[s["start"] : s["start"] + s["windows"] - 1 + WINDOW].tobytes(),
+                    _packed(hashes[s["start"] : s["start"] + s["windows"] - 1 + WINDOW]),
                 )
                 for s in segments
             ]
@@ -167,7 +179,7 @@ def _segment_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def repeated_windows(shard: pa.Table) -> pa.Table:
     """Index the segments of a shard, stream them through, report their repeated windows as bit masks."""
     shard = shard.sort_by([("anchor", "ascending"), ("segment", "ascending")])
-    sequences = [np.frombuffer(b, np.uint64) for b in shard.column("words").to_pylist()]
+    sequences = [_unpacked(b) for b in shard.column("words").to_pylist()]
     copies = shard.column("copies").to_numpy()
     windows = shard.column("windows").to_numpy()
     index = FmIndex(sequences, copies, WINDOW)
@@ -189,7 +201,7 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         rows: list[tuple] = []
         for s in batch.to_pylist():
-            hashes = np.frombuffer(s["words"], np.uint64)
+            hashes = _unpacked(s["words"])
             start = np.arange(s["windows"])
             content = _content(_sums(hashes), _powers(_INVERSE, len(hashes)), start, start + WINDOW)
             rows += [
@@ -223,7 +235,10 @@ def repeats(
     """
     source = documents.where("text is not null").select("doc_id", "text", text_key()[0])
     found = stored(source.mapInArrow(_find_segments, _SEGMENTS), "segments")
-    often = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    # Stored, so that adaptive execution can split the join below at frequent anchors.
+    often = stored(
+        found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "anchors"
+    )
     shared = stored(found.join(often, "anchor", "left_semi"), "shared-segments")
 
     place = F.min(F.struct("doc_id", "key_a", "start")).alias("place")
@@ -236,33 +251,36 @@ def repeats(
     size = F.sum(F.col("windows") + F.lit(WINDOW))
     shards = max(1, -(-(different.agg(size).first()[0] or 0) // shard_words))
     # At most the number of segments / anchor_segments anchors.
-    crowded = (
+    crowded = stored(
         different.groupBy("anchor")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > anchor_segments)
-        .select("anchor", F.lit(True).alias("crowded"))
+        .select("anchor"),
+        "crowded-anchors",
     )
-    segment = F.struct("anchor", "segment", "copies", "windows", F.col("place.start").alias("start"))
-    wanted = different.groupBy(
-        F.col("place.doc_id").alias("of_doc"), F.col("place.key_a").alias("of_key")
-    ).agg(F.collect_list(segment).alias("wanted"))
     keyed = documents.where("text is not null").select("doc_id", "text", text_key()[0])
-    here = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("key_a") == F.col("of_key"))
-    first = F.row_number().over(Window.partitionBy("doc_id", "key_a").orderBy("doc_id", "key_a"))
-    texts = keyed.join(wanted, here).withColumn("copy", first).where("copy = 1")
-    words = texts.select("text", "wanted").mapInArrow(_segment_words, _WORDS)
-    words = stored(words.join(crowded, "anchor", "left"), "segment-words")
+
+    def words_of_segments(segments: DataFrame) -> DataFrame:
+        segment = F.struct("anchor", "segment", "copies", "windows", F.col("place.start").alias("start"))
+        wanted = segments.groupBy(
+            F.col("place.doc_id").alias("of_doc"), F.col("place.key_a").alias("of_key")
+        ).agg(F.collect_list(segment).alias("wanted"))
+        here = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("key_a") == F.col("of_key"))
+        first = F.row_number().over(Window.partitionBy("doc_id", "key_a").orderBy("doc_id", "key_a"))
+        texts = keyed.join(wanted, here).withColumn("copy", first).where("copy = 1")
+        return texts.select("text", "wanted").mapInArrow(_segment_words, _WORDS)
 
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
-    columns = ["anchor", "segment", "copies", "windows", "words"]
     indexed = (
-        words.where("crowded is null")
-        .select(*columns, shard)
+        words_of_segments(different.join(crowded, "anchor", "left_anti"))
+        .select("*", shard)
         .groupBy("shard")
         .applyInArrow(lambda table: repeated_windows(table), _MASKS)
     )
-    counted = _counted_one_by_one(words.where("crowded").select(*columns))
-    masks = stored(indexed.unionAll(counted), "masks")
+    masks = stored(indexed, "masks")
+    if crowded.count():
+        single = words_of_segments(different.join(crowded, "anchor", "left_semi"))
+        masks = masks.unionAll(stored(_counted_one_by_one(single), "masks"))
     return (
         shared.join(masks, ["anchor", "segment"])
         .groupBy("doc_id", "key_a")
@@ -271,11 +289,11 @@ def repeats(
 
 
 def with_removals(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """All rows of documents, with the removals of their texts (null if none)."""
+    """All rows of documents, each as a struct row, with the removals of its text (null if none)."""
     found = found.select(F.col("doc_id").alias("of_doc"), F.col("key_a").alias("of_key"), "removals")
-    keyed = documents.select("*", text_key()[0].alias("key_of_text"))
-    here = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("key_of_text") == F.col("of_key"))
-    return keyed.join(found, here, "left").select(*documents.columns, "removals")
+    keyed = documents.select(whole_row(documents), "doc_id", text_key()[0])
+    here = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("key_a") == F.col("of_key"))
+    return keyed.join(found, here, "left").select("row", "removals")
 
 
 def kept_words(text: str | None, removals: list | None) -> tuple[int, list[bytes]]:
@@ -310,8 +328,9 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256. Null and short texts lose nothing."""
+    documents = documents.select("doc_id", "text")
     judged = with_removals(documents, repeats(documents))
-    return judged.select("doc_id", "text", "removals").mapInArrow(_digests, _RESULT)
+    return judged.select("row.doc_id", "row.text", "removals").mapInArrow(_digests, _RESULT)
 
 
 @F.pandas_udf(StringType())
@@ -330,14 +349,13 @@ def cut_repeats(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataF
     Texts without repeats keep their white space; the others' remaining words are joined by one space.
     """
     judged = with_removals(documents, repeats(documents))
-    changed = judged.withColumn(
-        "text", F.when(F.col("removals").isNull(), F.col("text")).otherwise(_kept_text("text", "removals"))
-    )
-    kept = changed.where(F.col("removals").isNull() | (F.col("text") != ""))
-    if "n_chars" in documents.columns:
-        length = F.when(F.col("removals").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-        kept = kept.withColumn("n_chars", length.cast("long"))
-    return kept.select(*documents.columns)
+    has = F.col("removals").isNotNull()
+    text = F.when(has, _kept_text("row.text", "removals")).otherwise(F.col("row.text")).alias("text")
+    cut = judged.select("row", has.alias("cut"), text).where(~F.col("cut") | (F.col("text") != ""))
+    columns = {c: F.col(f"row.`{c}`") for c in documents.columns} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("cut"), F.length("text")).otherwise(columns["n_chars"])
+    return cut.select(*[value.alias(c) for c, value in columns.items()])
 
 
 def op10_fm_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
