@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clienttrail.llm.common import read_table, smallest_of_each, text_key
+from clienttrail.llm.common import read_table, smallest_of_each, text_key, whole_row
 
 LONGEST = 4
 PLACES_LOG2 = 18
@@ -165,11 +165,9 @@ def keep_known_languages(spark: SparkSession, documents: DataFrame, sf_dir: str)
     """Pipeline stage: texts without a letter, and texts no language's regression claims, go."""
     model = fit_languages(documents)
     found = predict_language(documents, model, F.col("text"))
-    judged = documents.select("*", found.alias("language_found"))
-    kept = judged.where(
-        (F.col("language_found.lang_pred") != UNKNOWN) & (F.col("language_found.score") >= MIN_SCORE)
-    )
-    return kept.select(*documents.columns)
+    judged = documents.select(whole_row(documents), found.alias("found"))
+    known = (F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= MIN_SCORE)
+    return judged.where(known).select("row.*")
 
 
 def op9_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:

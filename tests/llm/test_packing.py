@@ -1,0 +1,133 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from clienttrail.llm import packing, token_output
+from clienttrail.llm.tokens import WordTokenizer, default_tokenizer
+
+PATH = default_tokenizer()
+PLAIN = Tokenizer.from_file(PATH)
+CACHED = WordTokenizer(PATH, cache_pieces=50)
+
+
+def plain_ids(text):
+    return PLAIN.encode(text or "", add_special_tokens=False).ids + [2]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("aB'sßéÉ ?!9\n\x1ć×"))))
+def test_ids_of_any_text(text):
+    assert np.frombuffer(CACHED.ids(text), "<u4").tolist() == plain_ids(text)
+
+
+@pytest.mark.parametrize("text", [None, "", "<|endoftext|> a", "don't we'll  it's", "straße ?ß", "x" * 3000, "a b. " * 9000])
+def test_ids(text):
+    assert np.frombuffer(CACHED.ids(text), "<u4").tolist() == plain_ids(text)
+
+
+def plain_best_fit(lengths, window):
+    """Tightest window by looking at all; among equal ones any has the same capacities."""
+    left = []
+    for length in sorted(lengths, reverse=True):
+        fits = [c for c in left if c >= length]
+        if fits:
+            left.remove(min(fits))
+            left.append(min(fits) - length)
+        else:
+            left.append(window - length)
+    return sorted(left)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 40).flatmap(lambda w: st.tuples(st.just(w), st.lists(st.integers(1, w), max_size=80))))
+def test_best_fit_decreasing(case):
+    window, lengths = case
+    places, offsets = packing.best_fit_decreasing(lengths, window)
+    used = Counter()
+    spans = sorted(zip(places.tolist(), offsets.tolist(), lengths))
+    for place, offset, length in spans:
+        assert offset == used[place]
+        used[place] += length
+    assert sorted(window - u for u in used.values()) == plain_best_fit(lengths, window)
+
+
+def check_packing(rows, documents, window):
+    texts = {d: plain_ids(t) for d, t in documents}
+    parts, sequences = {}, {}
+    for r in rows:
+        ids = texts[r["doc_id"]]
+        assert r["doc_tokens"] == len(ids)
+        piece = ids[r["start"] : r["start"] + r["length"]]
+        assert zlib.crc32(np.array(piece, "<u4").tobytes()) == r["ids_crc32"]
+        parts.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for doc_id, spans in parts.items():
+        ends = [0, *np.cumsum([n for _, n in sorted(spans)]).tolist()]
+        assert [s for s, _ in sorted(spans)] == ends[:-1] and ends[-1] == len(texts[doc_id])
+    for spans in sequences.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(spans)]).tolist()]
+        assert [s for s, _ in sorted(spans)] == ends[:-1] and ends[-1] <= window
+    assert parts.keys() == texts.keys()
+    return sum(map(len, texts.values())), len(sequences)
+
+
+def test_whole_table(spark, small_dir, small_documents):
+    rows = packing.op5_best_fit_packing(spark, small_dir).collect()
+    documents = [(r["doc_id"], r["text"]) for r in small_documents.collect()]
+    tokens, sequences = check_packing(rows, documents, 4096)
+    assert sequences <= tokens / 4096 * 1.01 + 1
+
+
+def test_small_windows_and_shards(frame):
+    documents = [(1, None), (2, ""), (3, "one two three " * 30), (4, "a"), (5, "b c d e f g h")]
+    rows = packing.pack_documents(frame(documents), window=16, shard_pieces=4).collect()
+    check_packing(rows, documents, 16)
+
+
+def test_odd_rows(frame):
+    rows = packing.pack_documents(frame([(None, "a b"), (1, "c"), (1, "c")])).collect()
+    assert Counter((r["doc_id"], r["doc_tokens"]) for r in rows) == {(None, 3): 1, (1, 2): 2}
+    assert packing.pack_documents(frame([])).count() == 0
+
+
+def test_same_result_again(frame):
+    documents = frame([(i, "word " * (i % 7)) for i in range(60)])
+    first, second = (
+        sorted(map(tuple, packing.pack_documents(documents, window=16).collect())) for _ in range(2)
+    )
+    assert first == second
+
+
+def test_matrices_round_trip(spark, small_documents, tmp_path):
+    folder = str(tmp_path / "packed")
+    token_output.write_sequences(small_documents, folder, shard_tokens=20_000)
+    rows = spark.read.parquet(folder).collect()
+    found = token_output.unpack(rows)
+    assert found == {r["doc_id"]: plain_ids(r["text"]) for r in small_documents.collect()}
+    for row in rows:
+        edges = row["cu_seqlens"]
+        positions = np.frombuffer(row["positions"], "<u4")
+        assert edges[0] == 0 and edges[-1] == row["n_tokens"] <= len(positions) == 4096
+        assert all(positions[a:b].tolist() == list(range(b - a)) for a, b in zip(edges, edges[1:]))
+        ids = np.frombuffer(row["ids"], "<u2")
+        assert len(ids) == 4096 and not ids[row["n_tokens"] :].any()
+
+
+def test_matrices_of_odd_rows(frame):
+    documents = [(1, None), (2, ""), (3, "one two three " * 30)]
+    rows = token_output.packed_sequences(frame(documents), window=16, id_type="<u4").collect()
+    assert token_output.unpack(rows, "<u4") == {d: plain_ids(t) for d, t in documents}
+    assert token_output.packed_sequences(frame([])).count() == 0
+
+
+def test_matrix_query(spark, small_dir, small_documents):
+    rows = token_output.op3_packed_matrices(spark, small_dir).collect()
+    assert sum(r["n_tokens"] for r in rows) == sum(len(plain_ids(r["text"])) for r in small_documents.collect())
+    assert len({r["sequence_id"] for r in rows}) == len(rows)
