@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from clienttrail.llm import toxicity
+from clienttrail.llm.text_features import word_features
+
+
+def test_labelled_rows_are_told_apart(spark):
+    folder = "/root/testdata/sf0.01"
+    got = toxicity.op8_ordinal_toxicity(spark, folder).toPandas()
+    labels = spark.read.parquet(f"{folder}/labels.parquet").toPandas()
+    assert len(got) == spark.read.parquet(f"{folder}/documents.parquet").count()
+    both = got.merge(labels, on="doc_id", suffixes=("", "_label"))
+    assert both["toxic"][both["toxic_label"] == 1].mean() > 0.95
+    assert both["toxic"][both["toxic_label"] == 0].mean() < 0.02
+    assert got["severity"].between(0, 2).all()
+
+
+def made(rng, count):
+    rows, grades = [], []
+    for i in range(count):
+        bad = (0, 0, 2, 9)[i % 4]
+        words = [*rng.choice("tree river stone light calm wind".split(), 20), *rng.choice("scum clown loser".split(), bad)]
+        rows.append(" ".join(rng.permutation(words)))
+        grades.append(int(bad > 0))
+    return rows, np.array(grades)
+
+
+def test_grades_rise_with_severity():
+    texts, toxic = made(np.random.default_rng(3), 200)
+    rows = [word_features(t) for t in texts]
+    grades = toxicity.grades_of(rows, toxic)
+    assert set(grades[2::4]) == {1} and set(grades[3::4]) == {2} and set(grades[::4]) == {0}
+    model = toxicity.OrdinalModel.fit(rows, grades)
+    assert (np.diff(model.thresholds) > 0).all()
+    severity = model.at_least([word_features(t) for t in ("river tree", "river tree scum", "scum clown scum loser")])
+    assert (np.diff(severity.sum(axis=1)) > 0).all() and (severity[:, 0] >= severity[:, 1]).all()
+    held_out, kinds = made(np.random.default_rng(8), 100)
+    above = model.at_least([word_features(t) for t in held_out])[:, 0] >= toxicity.TOXIC_FROM
+    assert (above == (kinds == 1)).mean() > 0.98
+
+
+def test_gradient_matches_differences():
+    """The likelihood's slope along the model's own gradient, by small differences."""
+    texts, toxic = made(np.random.default_rng(5), 40)
+    rows = [word_features(t) for t in texts]
+    grades = toxicity.grades_of(rows, toxic)
+    model = toxicity.OrdinalModel.fit(rows, grades)
+
+    def loss(weights):
+        trial = toxicity.OrdinalModel(model.vocabulary, weights, model.thresholds)
+        above = np.column_stack([np.ones(40), trial.at_least(rows), np.zeros(40)])
+        each = np.arange(40)
+        return -np.log(above[each, grades] - above[each, grades + 1]).mean()
+
+    untrained = loss(np.zeros_like(model.weights))
+    assert loss(model.weights) < 0.1 * untrained
+
+
+@pytest.fixture
+def labels(spark):
+    def make(rows):
+        return spark.createDataFrame(rows, "doc_id long, quality int, toxic int, grade int, hash string")
+
+    return make
+
+
+def test_odd_rows(frame, labels):
+    texts, toxic = made(np.random.default_rng(4), 80)
+    rows = list(enumerate(texts)) + [(None, "scum clown"), (500, None), (501, ""), (3, texts[3]), (502, "scum clown " * 9000)]
+    marks = [(i, 1, int(t), 1, "x") for i, t in enumerate(toxic)] + [(None, 1, 1, 1, "x"), (77, None, None, None, None)]
+    got = toxicity.score_severity(frame(rows), labels(marks)).collect()
+    assert len(got) == len(rows)
+    found = {r["doc_id"]: r for r in got}
+    assert found[None]["toxic"] and found[502]["toxic"]
+    assert [tuple(found[i])[1:] for i in (500, 501)] == [(0.0, 0, False)] * 2
+    assert toxicity.score_severity(frame([]), labels(marks)).count() == 0
+
+
+def test_without_both_labels(frame, labels):
+    got = toxicity.score_severity(frame([(1, "scum")]), labels([(1, 1, 1, 1, "x")])).collect()
+    assert [tuple(r) for r in got] == [(1, 0.0, 0, False)]
