@@ -222,9 +222,10 @@ def risk_distribution(risk: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Counts in `bins` equal bins from the minimum to the maximum; empty bins are left out.
+    """Counts in `bins` equal bins from the minimum to the maximum, empty bins included.
 
-    The maximum belongs to the last bin. The limits come from a one-row scalar subquery.
+    The maximum belongs to the last bin, and all values to the first one if they are equal; no values
+    give no rows. The limits come from a one-row scalar subquery.
     """
     values = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull())
     limits = values.agg(
@@ -233,13 +234,17 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     lo, hi = F.col("limits.lo"), F.col("limits.hi")
     width = (hi - lo) / bins
     position = F.floor((F.col("value") - lo) / F.nullif(width, F.lit(0.0)))
-    return (
+    counts = (
         values.withColumn("limits", limits.scalar())
-        .groupBy(
-            F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int").alias("bin"),
-            "limits",
-        )
-        .agg(F.count(F.lit(1)).alias("clients"))
+        .groupBy(F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("filled"))
+    )
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    return (
+        limits.where("limits.lo IS NOT NULL")
+        .select("limits", numbers)
+        .join(counts, "bin", "left")
+        .withColumn("clients", F.coalesce("filled", F.lit(0)))
         .select(
             "bin",
             (lo + F.col("bin") * width).alias("bin_start"),

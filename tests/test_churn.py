@@ -119,9 +119,11 @@ def test_histogram(spark):
         (0, 0.0, 1.0, 2),
         (1, 1.0, 2.0, 1),
         (2, 2.0, 3.0, 1),
+        *[(i, float(i), float(i + 1), 0) for i in range(3, 9)],
         (9, 9.0, 10.0, 2),
     ]
-    assert rows(churn.histogram(df.where("v = 2"), "v", 10)) == [(0, 2.0, 2.0, 1)]
+    equal = rows(churn.histogram(df.where("v = 2"), "v", 10))
+    assert equal == [(i, 2.0, 2.0, int(i == 0)) for i in range(10)]
     assert churn.histogram(df.where("v IS NULL"), "v", 10).count() == 0
 
 
