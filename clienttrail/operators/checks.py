@@ -367,8 +367,8 @@ def in_report_order(findings: DataFrame) -> DataFrame:
     if "unique_plans" in columns:
         keys.append(F.desc("unique_plans"))
     keys += [F.col(c) for c in ("client_id", "event_date", "record_id") if c in columns]
-    # The row number lets a sort spread copies of one record, too, over several tasks.
-    return findings.orderBy(*keys, F.monotonically_increasing_id())
+    # The hash makes the order of tied rows a function of the rows, whichever task sorts them.
+    return findings.orderBy(*keys, F.xxhash64(*columns))
 
 
 def inconsistency_counts(findings: DataFrame) -> DataFrame:

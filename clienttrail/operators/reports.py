@@ -212,10 +212,8 @@ def problem_events(findings: DataFrame, ordered: bool = True) -> DataFrame:
         "record_id",
     )
     if ordered:
-        # The row number lets the sort spread copies of one record, too, over several tasks.
-        shown = shown.orderBy(
-            "issue_type", "client_id", "record_id", F.monotonically_increasing_id()
-        )
+        # The hash makes the order of tied rows a function of the rows, whichever task sorts them.
+        shown = shown.orderBy("issue_type", "client_id", "record_id", F.xxhash64(*shown.columns))
     return shown.select(F.col("client_id").cast("string").alias("client_id"), *names, "description")
 
 
