@@ -41,6 +41,12 @@ def _read(spark: SparkSession, sf_dir: str, table: str, schema: str) -> DataFram
     return spark.read.schema(schema).parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _lookup(spark: SparkSession, sf_dir: str, table: str, schema: str) -> DataFrame:
+    """A lookup table with one row per key, which lets Spark drop a left join nobody reads from."""
+    key, value = (c.split()[0] for c in schema.split(", "))
+    return _read(spark, sf_dir, table, schema).groupBy(key).agg(F.max(value).alias(value))
+
+
 def lifecycle_events(spark: SparkSession, sf_dir: str, with_region: bool = True) -> DataFrame:
     """Events in the raw schema, with gaps in every field that staging fills or drops.
 
@@ -50,12 +56,12 @@ def lifecycle_events(spark: SparkSession, sf_dir: str, with_region: bool = True)
     """
     # A pattern finds the one number in the JSON several times faster than a JSON parser.
     events = _read(spark, sf_dir, "events", EVENTS).withColumn(
-        "k", F.expr("""cast(regexp_extract(props, '"k": *([0-9]+)') AS bigint)""")
+        "k", F.expr("""try_cast(regexp_extract(props, '"k": *([0-9]+)') AS bigint)""")
     )
     if with_region:
-        customer = _read(spark, sf_dir, "customer", CUSTOMER)
-        nation = _read(spark, sf_dir, "nation", NATION)
-        region = _read(spark, sf_dir, "region", REGION)
+        customer = _lookup(spark, sf_dir, "customer", CUSTOMER)
+        nation = _lookup(spark, sf_dir, "nation", NATION)
+        region = _lookup(spark, sf_dir, "region", REGION)
         events = (
             events.join(customer, F.expr("user_id = c_custkey"), "left")
             .join(nation, F.expr("c_nationkey = n_nationkey"), "left")
@@ -70,10 +76,17 @@ def lifecycle_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as the text of a raw file, with unreadable dates and numbers in it."""
     raw = lifecycle_events(spark, sf_dir)
     text = {c: f"cast({c} AS string)" for c in RAW_COLUMNS}
-    # Records 5, 105, 205, ...: an id that is no number; records 7, 107, ...: a fractional rep.
-    text["client_id"] = f"if(record_id % 100 = 5, 'abc', {text['client_id']})"
-    text["sales_rep_id"] = (
-        f"if(record_id % 100 = 7, {text['sales_rep_id']} || '.9', {text['sales_rep_id']})"
-    )
-    text["event_date"] = f"coalesce({text['event_date']}, 'not-a-date')"
+    client, rep, date = (text[c] for c in ("client_id", "sales_rep_id", "event_date"))
+    # By the last two digits of the record id: ids that are no number, have a fraction or a suffix;
+    # reps with a fraction, a suffix or an exponent; dates in other formats, with offsets, bare years.
+    text["client_id"] = f"""CASE record_id % 100 WHEN 5 THEN 'abc' WHEN 15 THEN {client} || '.5'
+        WHEN 25 THEN {client} || 'd' WHEN 35 THEN {client} || '.0' ELSE {client} END"""
+    text["sales_rep_id"] = f"""CASE record_id % 100 WHEN 7 THEN {rep} || '.9' WHEN 17 THEN {rep} || 'f'
+        WHEN 27 THEN {rep} || 'e0' ELSE {rep} END"""
+    text["event_date"] = f"""CASE WHEN event_date IS NULL THEN 'not-a-date'
+        WHEN record_id % 100 = 9 THEN date_format(event_date, 'MM/dd/yyyy')
+        WHEN record_id % 100 = 19 THEN date_format(event_date, 'MMM d, yyyy')
+        WHEN record_id % 100 = 29 THEN {date} || 'T10:00:00+02:00'
+        WHEN record_id % 100 = 39 THEN {date} || ' 10:00:00.25Z'
+        WHEN record_id % 100 = 49 THEN '2024' ELSE {date} END"""
     return raw.selectExpr(*[f"{text[c]} AS {c}" for c in RAW_COLUMNS])

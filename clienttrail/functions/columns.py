@@ -14,27 +14,57 @@ MICROS_PER_DAY = 86_400_000_000
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 
-def lenient_long(col: Column, dtype: T.DataType) -> Column:
-    """Cast to bigint; anything that is not a number becomes null, fractions are cut.
+# Patterns tried after ISO; a month comes before its day.
+DATE_FORMATS = ("M/d/yyyy[ H:mm[:ss]]", "MMM d, yyyy[ H:mm[:ss]]", "MMMM d, yyyy", "d MMM yyyy")
 
-    Text goes through bigint first so that ids beyond 2^53 stay exact.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_YEAR_ONLY = r"^\s*[+-]?\d+\s*$"
+_OFFSET = r"\s*(?:Z|([+-])(\d{2}):?(\d{2}))\s*$"
+_HAS_OFFSET = r"^\s*\d+-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}\S*" + _OFFSET
+
+
+def lenient_long(col: Column, dtype: T.DataType, cut: bool = False) -> Column:
+    """Cast to bigint; anything that is not a plain decimal or exponent number becomes null.
+
+    Fractions are cut if `cut`; otherwise a number with a fraction becomes null, as an id that is cut
+    would name another client. Text goes through bigint first so that ids beyond 2^53 stay exact.
     """
     if isinstance(dtype, T.IntegralType):
         return col.cast("bigint")
     if isinstance(dtype, T.StringType):
-        return F.coalesce(col.try_cast("bigint"), col.try_cast("double").try_cast("bigint"))
-    return col.try_cast("bigint")
-
-
-def lenient_timestamp(col: Column, dtype: T.DataType, formats: Sequence[str] = ()) -> Column:
-    """Cast to a zone-less timestamp; unreadable text becomes null.
-
-    ISO dates and timestamps are always read; `formats` are extra patterns tried in order.
+        text = F.when(col.rlike(_NUMBER), F.trim(col))
+        number = text.try_cast("double")
+        whole = F.when(number == F.floor(number), number) if not cut else number
+        exact = F.when(text.rlike(r"^[+-]?\d+$"), text).try_cast("bigint")
+        return F.coalesce(exact, whole.try_cast("bigint"))
+    number = col if cut else F.when(col == F.floor(col), col)
+    return number.try_cast("bigint")
+
+
+def lenient_timestamp(
+    col: Column, dtype: T.DataType, formats: Sequence[str] | None = None
+) -> Column:
+    """Cast to a zone-less timestamp; unreadable text, and a bare year, becomes null.
+
+    ISO dates and timestamps are always read; those with an offset come out as UTC, whatever the
+    session's zone. `formats` are the patterns tried after that, in order (None: DATE_FORMATS), value
+    by value, so that one column may mix them.
     """
     if not isinstance(dtype, T.StringType):
         return col.cast("timestamp_ntz")
-    extra = [F.try_to_timestamp(col, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(col.try_cast("timestamp_ntz"), *extra)
+    local = F.regexp_replace(col, _OFFSET, "").try_cast("timestamp_ntz")
+    sign = F.when(F.regexp_extract(col, _OFFSET, 1) == "-", -1).otherwise(1)
+    hours, minutes = (
+        F.coalesce(F.regexp_extract(col, _OFFSET, g).try_cast("int"), F.lit(0)) for g in (2, 3)
+    )
+    none = F.lit(0)
+    moved = local - F.make_dt_interval(none, sign * hours, sign * minutes, F.lit(0).cast("decimal(18,6)"))
+    extra = [
+        F.try_to_timestamp(F.trim(col), F.lit(f)).cast("timestamp_ntz")
+        for f in (DATE_FORMATS if formats is None else formats)
+    ]
+    plain = F.when(~col.rlike(_YEAR_ONLY), col.try_cast("timestamp_ntz"))
+    return F.when(col.rlike(_HAS_OFFSET), moved).otherwise(F.coalesce(plain, *extra))
 
 
 def null_if_token(col: Column, tokens: Iterable[str]) -> Column:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clienttrail.functions import lenient_long, lenient_timestamp, title_case
 from clienttrail.operators.ranking import with_event_rank
-from clienttrail.schema import NO_SALES_REP, NUMERIC_COLUMNS, RAW_COLUMNS, UNKNOWN
+from clienttrail.schema import NO_SALES_REP, NUMERIC_COLUMNS, RAW_COLUMNS, TORN_RECORD, UNKNOWN
 
 
 def normalise_columns(df: DataFrame) -> DataFrame:
@@ -25,15 +25,44 @@ def require_columns(df: DataFrame, required: Sequence[str] = RAW_COLUMNS) -> Dat
     return df
 
 
-def cast_events(df: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
-    """Cast the date and the numeric columns that are present; bad values become null."""
+def _casts(df: DataFrame, date_formats: Sequence[str] | None) -> dict[str, Column]:
     types = {f.name: f.dataType for f in df.schema}
-    casts = {c: lenient_long(F.col(c), types[c]) for c in NUMERIC_COLUMNS if c in types}
+    casts = {
+        c: lenient_long(F.col(c), types[c], cut=c == "sales_rep_id")
+        for c in NUMERIC_COLUMNS
+        if c in types
+    }
     if "event_date" in types:
         casts["event_date"] = lenient_timestamp(
             F.col("event_date"), types["event_date"], date_formats
         )
-    return df.withColumns(casts)
+    return casts
+
+
+def cast_events(df: DataFrame, date_formats: Sequence[str] | None = None) -> DataFrame:
+    """Cast the date and the numeric columns that are present; bad values become null."""
+    return df.withColumns(_casts(df, date_formats))
+
+
+def unreadable_values(df: DataFrame, date_formats: Sequence[str] | None = None) -> DataFrame:
+    """What casting loses: a row (record_id, column_name, value) for each value that becomes null.
+
+    record_id is the record's own text. Records that the source found torn, if it was asked to keep
+    them, are listed whole as the value of the column TORN_RECORD.
+    """
+    record = F.col("record_id").cast("string").alias("record_id")
+    lost = [
+        F.when(
+            F.col(c).isNotNull() & cast.isNull(),
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")),
+        )
+        for c, cast in _casts(df, date_formats).items()
+    ]
+    if TORN_RECORD in df.columns:
+        torn = F.col(TORN_RECORD)
+        whole = F.struct(F.lit(TORN_RECORD).alias("column_name"), torn.alias("value"))
+        lost = [F.when(torn.isNull(), value) for value in lost] + [F.when(torn.isNotNull(), whole)]
+    return df.select(record, F.inline(F.array_compact(F.array(*lost))))
 
 
 def fill_missing(df: DataFrame) -> DataFrame:
@@ -47,8 +76,13 @@ def fill_missing(df: DataFrame) -> DataFrame:
     return df.withColumns({c: e for c, e in defaults.items() if c in df.columns})
 
 
-def clean_events(df: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
-    """Raw events -> typed, filled events with a date; a narrow plan without a shuffle."""
+def clean_events(df: DataFrame, date_formats: Sequence[str] | None = None) -> DataFrame:
+    """Raw events -> typed, filled events with a date; a narrow plan without a shuffle.
+
+    Torn records, if the source kept them, are left out.
+    """
+    if TORN_RECORD in df.columns:
+        df = df.where(F.col(TORN_RECORD).isNull())
     return (
         require_columns(df)
         .transform(cast_events, date_formats)
@@ -58,6 +92,6 @@ def clean_events(df: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def stage_events(df: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
+def stage_events(df: DataFrame, date_formats: Sequence[str] | None = None) -> DataFrame:
     """Raw events -> the staged table: cleaned events plus `event_rank`."""
     return with_event_rank(clean_events(df, date_formats))

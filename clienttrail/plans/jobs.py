@@ -6,7 +6,7 @@ intermediate results are computed once and a lost executor costs no recomputatio
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +18,11 @@ from clienttrail.schema import (
     DISTRIBUTION_SCHEMA,
     FINDINGS_SCHEMA,
     FUNNEL_SCHEMA,
+    NULL_TOKENS,
 )
 from clienttrail.sources import read_feature, read_raw_csv, read_staged, write_table
 
+UNREADABLE = "staging_unreadable_values"
 # Names of the feature tables.
 STAGED = "f_staging_events"
 FUNNEL = "f_funnel_data"
@@ -36,10 +38,14 @@ def run_staging(
     raw_path: str | list[str],
     out_dir: str,
     fmt: str = "parquet",
-    date_formats: Sequence[str] = (),
+    date_formats: Sequence[str] | None = None,
+    null_tokens: Iterable[str] = NULL_TOKENS,
+    multiline: bool = False,
 ) -> str:
-    """Raw CSV -> staged event table."""
-    raw = staging.normalise_columns(read_raw_csv(spark, raw_path))
+    """Raw CSV -> staged event table, and beside it the table of values that could not be read."""
+    source = read_raw_csv(spark, raw_path, null_tokens, multiline, keep_torn=True)
+    raw = staging.normalise_columns(source)
+    write_table(staging.unreadable_values(raw, date_formats), f"{out_dir}/{UNREADABLE}", fmt)
     return write_table(staging.stage_events(raw, date_formats), f"{out_dir}/{STAGED}", fmt)
 
 

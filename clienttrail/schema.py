@@ -25,6 +25,9 @@ RAW_COLUMNS = (
 )
 NUMERIC_COLUMNS = ("record_id", "client_id", "sales_rep_id")
 
+# Column in which the CSV source keeps a record with too few or too many fields.
+TORN_RECORD = "torn_record"
+
 # Defaults for missing fields (the plan is title-cased afterwards).
 UNKNOWN = "unknown"
 UNKNOWN_PLAN = "Unknown"

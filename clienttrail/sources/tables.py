@@ -8,10 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from clienttrail.functions import null_if_token
-from clienttrail.schema import NULL_TOKENS, STAGED_SCHEMA
+from clienttrail.schema import NULL_TOKENS, STAGED_SCHEMA, TORN_RECORD
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def read_raw_csv(
@@ -19,23 +17,36 @@ def read_raw_csv(
     path: str | list[str],
     null_tokens: Iterable[str] = NULL_TOKENS,
     multiline: bool = False,
+    keep_torn: bool = False,
 ) -> DataFrame:
     """Read raw CSV with a header, all columns as text; missing-value tokens become null.
 
     Columns go by header name, and files whose headers differ are an error. `multiline` allows line
-    breaks inside quotes, at the price of one task per file.
+    breaks inside quotes, at the price of one task per file. A record with too few or too many fields,
+    as a line break in quotes makes without `multiline`, fails the read; with `keep_torn` it is kept
+    whole in the column TORN_RECORD, which is null otherwise.
     """
-    df = (
+    reader = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multiline)
-        .csv(path)
+        # Fields are counted in whole records only.
+        .option("columnPruning", False)
     )
+    names = reader.csv(path).columns
+    fields = [T.StructField(n, T.StringType()) for n in names]
+    if keep_torn:
+        torn = T.StructField(TORN_RECORD, T.StringType())
+        reader = reader.option("columnNameOfCorruptRecord", TORN_RECORD)
+        df = reader.schema(T.StructType([*fields, torn])).csv(path)
+    else:
+        df = reader.option("mode", "FAILFAST").schema(T.StructType(fields)).csv(path)
     tokens = tuple(null_tokens)
     if not tokens:
         return df
-    return df.select(*[null_if_token(F.col(f"`{c}`"), tokens).alias(c) for c in df.columns])
+    columns = [null_if_token(F.col(f"`{c}`"), tokens).alias(c) for c in names]
+    return df.select(*columns, *([TORN_RECORD] if keep_torn else []))
 
 
 def read_feature(
@@ -44,15 +55,25 @@ def read_feature(
     """Read a table that `write_table` wrote, with its fixed schema."""
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = (
-            reader.option("header", True)
+        # Times are read as text and cast: a pattern has one number of fraction digits, text any.
+        text = [
+            T.StructField(f.name, T.StringType() if _is_time(f) else f.dataType) for f in schema
+        ]
+        read = (
+            spark.read.schema(T.StructType(text))
+            .option("header", True)
             .option("enforceSchema", False)
             .option("escape", '"')
-            .option("timestampNTZFormat", TIMESTAMP_FORMAT)
+            .csv(path)
         )
+        return read.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in schema if _is_time(f)})
     return reader.format(fmt).load(path)
 
 
+def _is_time(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.TimestampNTZType)
+
+
 def read_staged(spark: SparkSession, path: str | list[str], fmt: str = "parquet") -> DataFrame:
     """Read the staged event table."""
     return read_feature(spark, path, STAGED_SCHEMA, fmt)
@@ -66,13 +87,13 @@ def register_tables(tables: Mapping[str, DataFrame]) -> None:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
     """Write a table and return its path; CSV gets a header and dates as text."""
-    writer = df.write.mode(mode)
     if fmt == "csv":
-        writer = (
-            writer.option("header", True)
-            .option("escape", '"')
-            .option("timestampNTZFormat", CSV_TIMESTAMP_FORMAT)
-        )
+        # As text, a time without a fraction has none and any other keeps all its digits.
+        times = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
+        df = df.withColumns({c: F.col(f"`{c}`").cast("string") for c in times})
+        writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    else:
+        writer = df.write.mode(mode)
     writer.format(fmt).save(path)
     return path
 

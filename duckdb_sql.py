@@ -28,7 +28,7 @@ _CTES = {
                CASE WHEN k % 11 <> 0 THEN 50 + k % 25 END AS sales_rep_id,
                CASE WHEN k % 19 <> 0 THEN CASE k % 3 WHEN 0 THEN 'internal_form'
                     WHEN 1 THEN 'web_api' ELSE 'manual_upload' END END AS source_system
-        FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) e
+        FROM (SELECT *, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) e
         LEFT JOIN customer ON user_id = c_custkey
         LEFT JOIN nation ON c_nationkey = n_nationkey
         LEFT JOIN region ON n_regionkey = r_regionkey""",
@@ -296,11 +296,11 @@ def _histogram(source: str, column: str, where: str, bins: int) -> str:
                    THEN least(floor((v - lo) / ((hi - lo) / {bins})), {bins - 1})
                    ELSE 0 END AS INTEGER) AS bin
             FROM vals, lims)
-        SELECT bin, lo + bin * ((hi - lo) / {bins}) AS bin_start,
-               CASE WHEN bin = {bins - 1} THEN hi ELSE lo + (bin + 1) * ((hi - lo) / {bins}) END
+        SELECT CAST(b AS INTEGER) AS bin, lo + b * ((hi - lo) / {bins}) AS bin_start,
+               CASE WHEN b = {bins - 1} THEN hi ELSE lo + (b + 1) * ((hi - lo) / {bins}) END
                    AS bin_end,
-               count(*) AS clients
-        FROM binned GROUP BY bin, lo, hi"""
+               (SELECT count(*) FROM binned WHERE bin = b) AS clients
+        FROM lims, range({bins}) AS r(b) WHERE lo IS NOT NULL"""
 
 
 def _stage_rows(stages: list[tuple[str, str]]) -> str:
@@ -332,11 +332,29 @@ def statements() -> dict[str, str]:
         ["raw"],
         """
         SELECT record_id,
-               CASE WHEN record_id % 100 <> 5 THEN client_id END AS client_id,
-               event_type, CAST(event_date AS TIMESTAMP) AS event_date, plan, region,
-               marketing_channel, sales_rep_id, source_system
+               CASE WHEN record_id % 100 NOT IN (5, 15, 25) THEN client_id END AS client_id,
+               event_type,
+               CASE record_id % 100 WHEN 29 THEN event_date + INTERVAL 8 HOUR
+                   WHEN 39 THEN event_date + INTERVAL 36000250 MILLISECOND
+                   WHEN 49 THEN NULL ELSE CAST(event_date AS TIMESTAMP) END AS event_date,
+               plan, region, marketing_channel,
+               CASE WHEN record_id % 100 <> 17 THEN sales_rep_id END AS sales_rep_id,
+               source_system
         FROM raw""",
     )
+    sql["stage_unreadable"] = _with(
+        ["raw"],
+        """
+        SELECT CAST(record_id AS VARCHAR) AS record_id, 'client_id' AS column_name,
+               CASE record_id % 100 WHEN 5 THEN 'abc' WHEN 15 THEN client_id || '.5'
+                   ELSE client_id || 'd' END AS value
+        FROM raw WHERE record_id % 100 IN (5, 15, 25)
+        UNION ALL SELECT CAST(record_id AS VARCHAR), 'sales_rep_id', sales_rep_id || 'f'
+        FROM raw WHERE record_id % 100 = 17 AND sales_rep_id IS NOT NULL
+        UNION ALL SELECT CAST(record_id AS VARCHAR), 'event_date',
+               CASE WHEN event_date IS NULL THEN 'not-a-date' ELSE '2024' END
+        FROM raw WHERE event_date IS NULL OR record_id % 100 = 49""",
+    )
     sql["stage_fill"] = _all("filled")
     sql["staged_events"] = _all("staged")
 

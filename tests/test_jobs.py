@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from pathlib import Path
+
 import pytest
 from fixtures import AS_OF, rows
 
@@ -9,7 +12,14 @@ from clienttrail import plans
 from clienttrail.operators import checks, churn, funnel
 from clienttrail.plans import jobs
 from clienttrail.schema import CHURN_SCHEMA, DETAILS_SCHEMA, FINDINGS_SCHEMA, FUNNEL_SCHEMA
-from clienttrail.sources import preview, read_feature, read_staged, register_tables
+from clienttrail.sources import (
+    preview,
+    read_feature,
+    read_raw_csv,
+    read_staged,
+    register_tables,
+    write_table,
+)
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
@@ -60,6 +70,44 @@ def test_csv_text(spark, raw_path, tmp_path):
     assert preview(read_staged(spark, path, "csv")).count() == 5
 
 
+def test_other_dates_and_torn_records(spark, raw_path, staged, tmp_path):
+    """Files with US dates stage in full; a line break in quotes is read whole or reported."""
+    lines = Path(raw_path).read_text().splitlines()
+    header = lines[0].split(",")
+    at = header.index("event_date")
+    swapped = [lines[0]]
+    for line in lines[1:]:
+        fields = line.split(",")
+        year, month, date = fields[at].split("-")
+        fields[at] = f"{month}/{date}/{year}"
+        swapped.append(",".join(fields))
+    path = tmp_path / "us.csv"
+    path.write_text("\n".join(swapped) + "\n")
+    assert rows(read_staged(spark, plans.run_staging(spark, str(path), str(tmp_path / "a")))) == rows(staged)
+    assert spark.read.parquet(str(tmp_path / "a" / jobs.UNREADABLE)).count() == 0
+
+    record = dict(zip(header, lines[1].split(","))) | {"record_id": "99", "plan": '"two\nlines"'}
+    path.write_text("\n".join([*swapped, ",".join(record[c] for c in header)]) + "\n")
+    torn = plans.run_staging(spark, str(path), str(tmp_path / "b"))
+    assert rows(read_staged(spark, torn)) == rows(staged)
+    lost = spark.read.parquet(str(tmp_path / "b" / jobs.UNREADABLE)).collect()
+    assert {r.column_name for r in lost} == {"torn_record"} and len(lost) == 2
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_raw_csv(spark, str(path)).collect()
+    whole = read_staged(spark, plans.run_staging(spark, str(path), str(tmp_path / "c"), multiline=True))
+    assert whole.where("record_id = 99").first().plan == "Two\nLines"
+
+
+def test_csv_keeps_every_value(spark, tmp_path):
+    schema = "id long, at timestamp_ntz, text string"
+    times = [datetime(2023, 1, 5), datetime(2023, 1, 5, 10, 0, 0, 123456), datetime(2023, 1, 5, 10, 0, 0, 500000), None]
+    texts = ["a", 'say "hi", you', "x y", None]
+    df = spark.createDataFrame(list(zip(range(4), times, texts)), schema)
+    for fmt in ("csv", "parquet"):
+        path = write_table(df, str(tmp_path / fmt), fmt)
+        assert rows(read_feature(spark, path, df.schema, fmt)) == rows(df)
+
+
 def test_registered_tables(spark, staged):
     register_tables({"f_staging_events": staged})
     assert spark.sql("SELECT count(*) FROM f_staging_events WHERE event_rank > 1").first()[0] == 5

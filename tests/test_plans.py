@@ -78,7 +78,7 @@ def test_sample_keeps_only_the_first_rows(table):
 
 
 @pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.own_queries()))
 def test_no_cross_join_and_no_python(spark, name):
     text = plan(entry.queries()[name](spark, SF_DIR))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):

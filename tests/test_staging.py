@@ -63,14 +63,51 @@ def test_typed_input_is_kept(spark):
         "client_id": "bigint",
         "event_date": "timestamp_ntz",
     }
-    assert rows(cast) == [(1, 2, day("2023-01-05"))]
+    assert rows(cast) == [(1, None, day("2023-01-05"))]
+    whole = staging.cast_events(df.selectExpr("2D AS client_id", "57.9D AS sales_rep_id"))
+    assert rows(whole) == [(2, 57)]
+
+
+def test_date_formats(spark):
+    texts = {
+        "01/31/2023": day("2023-01-31"),
+        "1/5/2023 6:07": datetime(2023, 1, 5, 6, 7),
+        "Jan 7, 2023": day("2023-01-07"),
+        "2023-01-05": day("2023-01-05"),
+        " 2023-01-05 06:07:08.123456 ": datetime(2023, 1, 5, 6, 7, 8, 123456),
+        "2023-01-07T10:00:00+02:00": datetime(2023, 1, 7, 8),
+        "2023-01-07 10:00:00-0530": datetime(2023, 1, 7, 15, 30),
+        "2023-01-07T10:00:00.5Z": datetime(2023, 1, 7, 10, 0, 0, 500000),
+        "2023": None,
+        "31/01/2023": None,
+        "": None,
+    }
+    df = text_rows(spark, *[dict(event_date=t) for t in texts])
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert [r.event_date for r in staging.cast_events(df).collect()] == [*texts.values()]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    other = staging.cast_events(df, ["dd/MM/yyyy"]).collect()
+    assert [r.event_date for r in other][9] == day("2023-01-31") and other[0].event_date is None
+
+
+def test_numbers_are_plain(spark):
+    texts = {"57d": None, "5f": None, "57.9": None, "57.0": 57, " 5e1 ": 50, "0x10": None, "1_0": None, "-3": -3}
+    df = text_rows(spark, *[dict(client_id=t) for t in texts])
+    assert [r.client_id for r in staging.cast_events(df).collect()] == [*texts.values()]
 
 
-def test_extra_date_formats(spark):
-    df = text_rows(spark, dict(event_date="01/31/2023"), dict(event_date="2023-01-05"))
-    assert rows(staging.cast_events(df), "event_date") == [(None,), (day("2023-01-05"),)]
-    cast = staging.cast_events(df, ["MM/dd/yyyy"])
-    assert [r.event_date for r in cast.collect()] == [day("2023-01-31"), day("2023-01-05")]
+def test_unreadable_values_are_listed(spark):
+    df = text_rows(
+        spark, {}, dict(record_id="2", client_id="7.5", event_date="?"), dict(record_id="x", sales_rep_id="5.5")
+    )
+    assert sorted(rows(staging.unreadable_values(df))) == [
+        ("2", "client_id", "7.5"),
+        ("2", "event_date", "?"),
+        ("x", "record_id", "x"),
+    ]
 
 
 def test_fill_missing(spark):
