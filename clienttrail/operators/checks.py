@@ -7,13 +7,15 @@ aggregation of the events instead of one per check. Findings are unordered; `in_
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import datetime
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clienttrail.functions import as_of_literal, elapsed_days_sql
+from clienttrail.functions import as_of_literal, elapsed_days_sql, month_text
 from clienttrail.operators.profile import client_profile
 from clienttrail.schema import (
     DETAILS_SCHEMA,
@@ -269,11 +271,10 @@ def docs_events(events: DataFrame) -> DataFrame:
     )
 
 
-def event_distribution(events: DataFrame) -> DataFrame:
-    """Counts, clients, date range, mean sales rep and the plans and regions per event type.
+def event_numbers(events: DataFrame) -> DataFrame:
+    """Counts, clients, date range and mean sales rep per event type.
 
-    Two aggregations that both shrink before they shuffle: one by type and client for the exact
-    client count, one by type, plan and region for the lists.
+    Events shrink by type and client, for the exact client count, before they shuffle.
     """
     by_client = events.groupBy("event_type", "client_id").agg(
         F.count(F.lit(1)).alias("n"),
@@ -282,7 +283,7 @@ def event_distribution(events: DataFrame) -> DataFrame:
         F.sum("sales_rep_id").alias("rep_sum"),
         F.count("sales_rep_id").alias("rep_n"),
     )
-    numbers = by_client.groupBy("event_type").agg(
+    return by_client.groupBy("event_type").agg(
         F.sum("n").alias("event_count"),
         F.count("client_id").alias("unique_clients"),
         F.min("first").alias("earliest_date"),
@@ -292,6 +293,14 @@ def event_distribution(events: DataFrame) -> DataFrame:
         ),
     )
 
+
+def event_distribution(events: DataFrame) -> DataFrame:
+    """The numbers of each event type, and the plans and regions that occur with it.
+
+    Two aggregations that both shrink before they shuffle: the numbers, and one by type, plan and
+    region for the lists.
+    """
+
     def distinct_list(column: str) -> Column:
         values = F.collect_set(column)
         return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), ","))
@@ -306,14 +315,19 @@ def event_distribution(events: DataFrame) -> DataFrame:
         )
     )
     return (
-        numbers.join(lists, F.col("event_type").eqNullSafe(F.col("_type")))
+        event_numbers(events)
+        .join(lists, F.col("event_type").eqNullSafe(F.col("_type")))
         .drop("_type")
         .orderBy(F.desc("event_count"), "event_type")
     )
 
 
-def inconsistencies(events: DataFrame, as_of: datetime | str) -> DataFrame:
-    """All findings under one fixed schema.
+def inconsistencies(
+    events: DataFrame, as_of: datetime | str, types: Collection[str] | None = None
+) -> DataFrame:
+    """Findings of the given types (None: all) under one fixed schema.
+
+    Only what the types need is read and aggregated.
 
     Each client's profile yields one row per check that fires; unknown values and plan changes,
     which are not client counts or dates, are added by name. No distinct: a client or record is
@@ -327,6 +341,28 @@ def inconsistencies(events: DataFrame, as_of: datetime | str) -> DataFrame:
         SEQUENCE_VIOLATION: _SEQUENCE,
         DOCS_PATTERN: _DOCS_PATTERN,
     }
+    others = {UNKNOWN_VALUES: unknown_values, PLAN_INCONSISTENCY: plan_changes}
+    if types is not None:
+        if unknown := set(types) - checks.keys() - others.keys():
+            raise ValueError(f"unknown finding types: {', '.join(sorted(unknown))}")
+        checks = {name: c for name, c in checks.items() if name in types}
+        others = {name: of for name, of in others.items() if name in types}
+    parts = [_client_findings(events, checks)] if checks else []
+    parts += [of(events) for of in others.values()]
+    if not parts:
+        raise ValueError("no finding types")
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return union.selectExpr(
+        *[
+            f"cast({f.name if f.name in union.columns else 'null'} AS {f.dataType.simpleString()})"
+            f" AS {f.name}"
+            for f in FINDINGS_SCHEMA
+        ]
+    )
+
+
+def _client_findings(events: DataFrame, checks: dict[str, _ClientCheck]) -> DataFrame:
+    """A row for each client and each of the checks on its profile that fires."""
     fired = ", ".join(f"CASE WHEN {c.fires} THEN '{name}' END" for name, c in checks.items())
 
     def of_check(sql_of: dict[str, str]) -> str:
@@ -334,7 +370,7 @@ def inconsistencies(events: DataFrame, as_of: datetime | str) -> DataFrame:
         return f"CASE inconsistency_type {' '.join(cases)} END"
 
     fields = dict.fromkeys(f for check in checks.values() for f in check.fields)
-    by_client = (
+    return (
         client_profile(events)
         .selectExpr("*", f"explode(array({fired})) AS inconsistency_type")
         .where("inconsistency_type IS NOT NULL")
@@ -348,12 +384,6 @@ def inconsistencies(events: DataFrame, as_of: datetime | str) -> DataFrame:
             ],
         )
     )
-    union = by_client.unionByName(unknown_values(events), allowMissingColumns=True).unionByName(
-        plan_changes(events), allowMissingColumns=True
-    )
-    return union.selectExpr(
-        *[f"cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in FINDINGS_SCHEMA]
-    )
 
 
 def in_report_order(findings: DataFrame) -> DataFrame:
@@ -379,6 +409,25 @@ def inconsistency_counts(findings: DataFrame) -> DataFrame:
     )
 
 
+def first_affected_events(events: DataFrame, findings: DataFrame, clients: int) -> DataFrame:
+    """Events of the affected clients with the smallest ids; every affected client has an event."""
+    ids = findings.where(F.col("client_id").isNotNull()).select("client_id").distinct()
+    first = ids.orderBy("client_id").limit(clients)
+    # At most `clients` ids.
+    return events.join(F.broadcast(first), "client_id", "left_semi")
+
+
+def affected_month_counts(events: DataFrame, findings: DataFrame) -> DataFrame:
+    """Events of affected clients per client and month, counted before they meet the findings."""
+    monthly = (
+        events.where(F.col("event_date").isNotNull())
+        .groupBy("client_id", month_text(F.col("event_date")).alias("month"))
+        .agg(F.count(F.lit(1)).alias("events"))
+    )
+    affected = findings.select("client_id").distinct()
+    return monthly.join(affected, "client_id", "left_semi")
+
+
 def client_event_details(staged: DataFrame, findings: DataFrame) -> DataFrame:
     """Staged events of every client with a finding.
 

@@ -89,16 +89,26 @@ def churn_last_type(events: DataFrame, dedup: bool = False) -> DataFrame:
     )
 
 
+def _latest(events: DataFrame, column: str) -> DataFrame:
+    """Per client, value and date the latest record: a hash aggregation that shrinks the events."""
+    return events.groupBy("client_id", column, "event_date").agg(F.max("record_id").alias("record_id"))
+
+
+def _value_of_latest(column: str) -> Column:
+    """The value on the latest record; among records of one date and id, the largest value."""
+    return F.max_by(column, F.struct("event_date", "record_id", column))
+
+
 def _latest_type(events: DataFrame) -> DataFrame:
     def last_of(event_type: str) -> Column:
         return F.max(F.when(F.col("event_type") == event_type, F.col("event_date")))
 
-    return events.groupBy("client_id").agg(
+    return _latest(events, "event_type").groupBy("client_id").agg(
         F.max("event_date").alias("last_event_date"),
         last_of(APPLIED).alias("applied_date"),
         last_of(SIGNED).alias("signed_date"),
         last_of(CHURNED).alias("churned_date"),
-        F.max_by("event_type", F.struct("event_date", "record_id")).alias("last_event_type"),
+        _value_of_latest("event_type").alias("last_event_type"),
     )
 
 
@@ -300,9 +310,7 @@ def last_event_monthly(churn: DataFrame) -> DataFrame:
 
 def latest_region(events: DataFrame) -> DataFrame:
     """The region on each client's latest record."""
-    return events.groupBy("client_id").agg(
-        F.max_by("region", F.struct("event_date", "record_id")).alias("region")
-    )
+    return _latest(events, "region").groupBy("client_id").agg(_value_of_latest("region").alias("region"))
 
 
 def risk_by_region(risk: DataFrame, regions: DataFrame) -> DataFrame:

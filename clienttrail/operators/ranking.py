@@ -96,7 +96,11 @@ def _rank_hot(
 
 
 def _limits_up_to(limits: Column, key: Column) -> Column:
-    """How many of the sorted limits are <= key: a binary search from the highest bit down."""
+    """How many of the sorted limits are <= key: a binary search from the highest bit down.
+
+    It counts to 2^25 - 1. Beyond so many limits (a group of some 10^14 rows) the last slice only
+    grows; ranks stay right.
+    """
     steps = F.array(*[F.lit(1 << bit) for bit in range(24, -1, -1)])
     return F.when(limits.isNull(), F.lit(0)).otherwise(
         F.aggregate(
@@ -109,18 +113,21 @@ def _limits_up_to(limits: Column, key: Column) -> Column:
 
 
 def _expand_copies(ranked: DataFrame, columns: list[str], copies_per_task_row: int) -> DataFrame:
-    """One output row per copy, the copies of one row spread over the tasks."""
+    """One output row per copy; only rows with very many copies are spread over the tasks."""
+
+    def expanded(rows: DataFrame, first: Column, last: Column) -> DataFrame:
+        return rows.select(*columns, F.explode(F.sequence(first, last)).alias("event_rank"))
+
+    many = F.col("_last") - F.col("_before") > copies_per_task_row
+    few = expanded(ranked.where(~many), F.col("_before") + 1, F.col("_last"))
     # A fixed partition count: adaptive execution would merge these few small rows into one task.
     tasks = int(ranked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = F.lit(copies_per_task_row).cast("bigint")
     starts = F.sequence(F.col("_before"), F.col("_last") - 1, size)
-    return (
-        ranked.withColumn("_start", F.explode(starts))
+    spread = (
+        ranked.where(many)
+        .withColumn("_start", F.explode(starts))
         .repartition(tasks, *columns, "_start")
-        .select(
-            *columns,
-            F.explode(
-                F.sequence(F.col("_start") + 1, F.least(F.col("_start") + size, F.col("_last")))
-            ).alias("event_rank"),
-        )
     )
+    end = F.least(F.col("_start") + size, F.col("_last"))
+    return few.unionByName(expanded(spread, F.col("_start") + 1, end))

@@ -89,8 +89,10 @@ def application_spread(findings: DataFrame) -> DataFrame:
 
 
 def event_type_counts(distribution: DataFrame) -> DataFrame:
-    """Events and clients per event type, most frequent first."""
-    return distribution.select("event_type", "event_count", "unique_clients")
+    """Events and clients per event type, most frequent first; of event numbers or a distribution."""
+    return distribution.select("event_type", "event_count", "unique_clients").orderBy(
+        F.desc("event_count"), "event_type"
+    )
 
 
 def _scenario_counts(findings: DataFrame) -> DataFrame:
@@ -140,13 +142,20 @@ def scenario_summary(findings: DataFrame) -> DataFrame:
     )
 
 
-def scenario_insights(findings: DataFrame, events: DataFrame) -> DataFrame:
-    """One row: the scenario counts and docs events per applied event."""
+def scenario_insights(findings: DataFrame, distribution: DataFrame) -> DataFrame:
+    """One row: the scenario counts and docs events per applied event.
+
+    The distribution has a row (event_type, event_count) for each type.
+    """
     counts = _scenario_counts(findings)
     names = counts.columns
-    event_counts = events.where(F.col("event_type").isin(DOCS_SUBMITTED, APPLIED)).agg(
-        F.count_if(F.col("event_type") == DOCS_SUBMITTED).alias("docs_events"),
-        F.count_if(F.col("event_type") == APPLIED).alias("applied_events"),
+
+    def count_of(event_type: str) -> Column:
+        value = F.max(F.when(F.col("event_type") == event_type, F.col("event_count")))
+        return F.coalesce(value, F.lit(0).cast("bigint"))
+
+    event_counts = distribution.agg(
+        count_of(DOCS_SUBMITTED).alias("docs_events"), count_of(APPLIED).alias("applied_events")
     )
     both = counts.unionByName(event_counts, allowMissingColumns=True)
     return both.agg(
@@ -217,6 +226,11 @@ def problem_events(findings: DataFrame, ordered: bool = True) -> DataFrame:
     return shown.select(F.col("client_id").cast("string").alias("client_id"), *names, "description")
 
 
+def affected_monthly_counts(counts: DataFrame) -> DataFrame:
+    """Events of affected clients per month, from their counts per client and month."""
+    return counts.groupBy("month").agg(F.sum("events").alias("events")).orderBy("month")
+
+
 def affected_monthly(details: DataFrame) -> DataFrame:
     """Events of affected clients per month."""
     return (

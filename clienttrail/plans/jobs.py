@@ -109,6 +109,8 @@ def run_funnel_report(
     """Written funnel -> the tables of the funnel report."""
     clients = read_feature(spark, f"{features_dir}/{FUNNEL}", FUNNEL_SCHEMA, fmt)
     metrics = funnel.funnel_metrics(clients)
+    path = f"{features_dir}/{METRICS}"
+    metrics = read_feature(spark, path, metrics.schema, fmt)
     durations = funnel.stage_durations(clients)
     tables = {
         "funnel_overview": funnel.funnel_overview(metrics),
@@ -133,8 +135,9 @@ def run_churn_report(
     staged = read_staged(spark, staged_path, fmt)
     risk = churn.client_risk(clients)
     summary = churn.churn_summary(risk)
+    path = write_table(summary, f"{out_dir}/churn_summary", fmt)
+    summary = read_feature(spark, path, summary.schema, fmt)
     tables = {
-        "churn_summary": summary,
         "churn_summary_table": churn.churn_summary_table(summary),
         "churn_insights": churn.churn_insights(summary),
         "churned_vs_at_risk": churn.churned_vs_at_risk(summary),
@@ -145,15 +148,14 @@ def run_churn_report(
         "last_event_monthly": churn.last_event_monthly(clients),
         "risk_by_region": churn.risk_by_region(risk, churn.latest_region(staged)),
     }
-    return _write_all(tables, out_dir, fmt)
+    return {"churn_summary": path} | _write_all(tables, out_dir, fmt)
 
 
 def run_inconsistencies_report(
-    spark: SparkSession, features_dir: str, staged_path: str, out_dir: str, fmt: str = "parquet"
+    spark: SparkSession, features_dir: str, out_dir: str, fmt: str = "parquet"
 ) -> dict[str, str]:
     """Written findings, details and distribution -> the data-quality report."""
     findings = read_feature(spark, f"{features_dir}/{FINDINGS}", FINDINGS_SCHEMA, fmt)
-    staged = read_staged(spark, staged_path, fmt)
     details = read_feature(spark, f"{features_dir}/{DETAILS}", DETAILS_SCHEMA, fmt)
     distribution = read_feature(
         spark, f"{features_dir}/{DISTRIBUTION}", DISTRIBUTION_SCHEMA, fmt
@@ -166,7 +168,7 @@ def run_inconsistencies_report(
         "application_spread": reports.application_spread(findings),
         "event_type_counts": reports.event_type_counts(distribution),
         "scenario_summary": reports.scenario_summary(findings),
-        "scenario_insights": reports.scenario_insights(findings, staged),
+        "scenario_insights": reports.scenario_insights(findings, distribution),
         "problem_events": reports.problem_events(findings),
         "question_counts": reports.question_counts(findings),
         "severity_counts": reports.severity_counts(findings),

@@ -308,7 +308,7 @@ def test_finding_counts_and_details(findings, staged):
 
 def test_quality_report(findings, staged):
     assert [r.cases for r in reports.scenario_summary(findings).collect()] == [5, 1, 1, 6, 3]
-    assert reports.scenario_insights(findings, staged).first() == (5, 1, 1, 6, 3, 1, 13, 1 / 13)
+    assert reports.scenario_insights(findings, checks.event_distribution(staged)).first() == (5, 1, 1, 6, 3, 1, 13, 1 / 13)
     assert rows(reports.unknown_reason_counts(findings)) == [
         ("Plan field has Unknown value", 4),
         ("Sales rep ID is -1 (missing/unknown)", 1),

@@ -48,7 +48,7 @@ def test_all_layers(spark, raw_path, staged, tmp_path, fmt):
     tables = {
         **plans.run_funnel_report(spark, out, report, fmt),
         **plans.run_churn_report(spark, out, staged_path, report, fmt),
-        **plans.run_inconsistencies_report(spark, out, staged_path, report, fmt),
+        **plans.run_inconsistencies_report(spark, out, report, fmt),
     }
     for name, path in tables.items():
         assert spark.read.format(fmt).option("header", True).load(path).count() > 0, name
