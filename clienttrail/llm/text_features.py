@@ -11,11 +11,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clienttrail.llm.common import smallest_of_each, text_key, words_of
+from clienttrail.llm.common import smallest_of_each, stored, text_key, words_of
 
 #: Features must occur in at least so many rows of the training sample and tell grades apart by so many
 #: standard errors of their log odds; each is known by 63 bits of its hash.
-LEAST_ROWS, LEAST_SIGNAL = 3, 3.0
+LEAST_ROWS, LEAST_SIGNAL = 3, 2.5
 #: Characters of word beginnings that are features beside the words.
 BEGINNINGS = (4, 5)
 _EDGES = ".,;:!?\"'()[]"
@@ -45,21 +45,29 @@ def word_features(
     return index, value / np.sqrt((value**2).sum())
 
 
+def telling(present: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Which features tell some grade from the others.
+
+    present: rows of each grade (first axis) that have each feature; rows: rows of each grade.
+    """
+    rows = rows[:, None]
+    inside, outside = present + 0.5, present.sum(axis=0) - present + 0.5
+    here, there = rows + 1 - inside, rows.sum() - rows + 1 - outside
+    odds = np.log(inside * there / (outside * here))
+    error = np.sqrt(1 / inside + 1 / outside + 1 / here + 1 / there)
+    often = present.sum(axis=0) >= LEAST_ROWS
+    return often & (np.abs(odds) >= LEAST_SIGNAL * error).any(axis=0)
+
+
 def telling_features(rows: Rows, grades: np.ndarray) -> np.ndarray:
-    """The hashes, rising, of the features that tell some grade from the others in a labelled sample."""
-    found, count = np.unique(np.concatenate([i for i, _ in rows]), return_counts=True)
-    vocabulary = found[count >= LEAST_ROWS]
+    """The hashes, rising, of the features of a labelled sample that are telling."""
+    vocabulary = np.unique(np.concatenate([i for i, _ in rows]))
     features = SparseRows(rows, vocabulary)
-    telling = np.zeros(len(vocabulary), bool)
-    for grade in np.unique(grades):
-        own = grades == grade
-        inside = np.bincount(features.index[own[features.row]], minlength=len(vocabulary)) + 0.5
-        outside = np.bincount(features.index[~own[features.row]], minlength=len(vocabulary)) + 0.5
-        here, there = own.sum() + 1 - inside, (~own).sum() + 1 - outside
-        odds = np.log(inside * there / (outside * here))
-        error = np.sqrt(1 / inside + 1 / outside + 1 / here + 1 / there)
-        telling |= np.abs(odds) >= LEAST_SIGNAL * error
-    return vocabulary[telling]
+    kinds = np.unique(grades)
+    present = [
+        np.bincount(features.index[grades[features.row] == k], minlength=len(vocabulary)) for k in kinds
+    ]
+    return vocabulary[telling(np.stack(present), np.array([(grades == k).sum() for k in kinds]))]
 
 
 class SparseRows:
@@ -126,9 +134,10 @@ def labelled_sample(
 ) -> tuple[np.ndarray, Rows, dict[int, int]]:
     """At most rows_of_each labelled documents of each grade, by hash; also how many labels have each.
 
-    grade is a column over labels (a small whole number; null: not used). Labels are ranked by ids alone,
-    texts are read for the chosen ids, and their features, not the texts, come to the driver. Several
-    labels of one document: the largest grade. Documents without text have no features.
+    grade is a column over labels (a small whole number; null: not used). Labels are ranked by ids alone
+    and texts are read for the chosen ids. Features are counted by grade on the cluster; the driver gets
+    those that occur often enough, and of each row the telling ones. Several labels of one document: the
+    largest grade. Documents without text have no features.
     """
     graded = labels.select("doc_id", grade.cast("int").alias("grade"))
     graded = graded.where("doc_id is not null and grade is not null")
@@ -145,12 +154,45 @@ def labelled_sample(
             "copy", F.row_number().over(Window.partitionBy("doc_id").orderBy("key_a", "key_b"))
         )
         .where("copy = 1")
-        .select("doc_id", "text", "grade")
-        .orderBy("doc_id")
+        .select("text", "grade")
+    )
+    kinds = "grade int, index array<long>, value array<double>"
+    features = stored(found.mapInArrow(_features(beginnings), kinds), "features")
+    grades = sorted(counts)
+    present = (
+        features.select("grade", F.explode("index").alias("feature"))
+        .groupBy("feature")
+        .agg(*[F.count_if(F.col("grade") == g).alias(f"g{g}") for g in grades], F.count("*").alias("n"))
+        .where(F.col("n") >= LEAST_ROWS)
     )
-    rows = found.mapInArrow(_features(beginnings), "grade int, index array<long>, value array<double>").toPandas()
-    features = [(np.asarray(i, np.int64), np.asarray(v)) for i, v in zip(rows["index"], rows["value"])]
-    return rows["grade"].to_numpy(np.int64), features, counts
+    if not grades:
+        return np.zeros(0, np.int64), [], counts
+    table = present.drop("n").orderBy("feature").toArrow()
+    rows = {r["grade"]: r["count"] for r in features.groupBy("grade").count().collect()}
+    matrix = np.stack([table.column(f"g{g}").to_numpy() for g in grades])
+    vocabulary = table.column("feature").to_numpy()[
+        telling(matrix, np.array([rows.get(g, 0) for g in grades]))
+    ]
+    del table, matrix
+    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = list(zip(batch.column("index").to_pylist(), batch.column("value").to_pylist()))
+            own = [np.isin(i, shared.value, assume_unique=True) for i, _ in pairs]
+            index = [np.array(i, np.int64)[k] for (i, _), k in zip(pairs, own)]
+            value = [np.array(v)[k] for (_, v), k in zip(pairs, own)]
+            arrays = [batch.column("grade")]
+            arrays += [pa.array(index, pa.list_(pa.int64())), pa.array(value, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["grade", "index", "value"])
+
+    # In an order of its own, whatever the tasks' order. The rows are views of the collected columns.
+    sample = features.mapInArrow(known, kinds).orderBy("grade", F.xxhash64("index", "value")).toArrow()
+    index, value = (sample.column(c).combine_chunks() for c in ("index", "value"))
+    ends = np.cumsum(index.value_lengths().to_numpy(zero_copy_only=False))
+    index, value = (c.flatten().to_numpy(zero_copy_only=False) for c in (index, value))
+    out = [(index[i:j], value[i:j]) for i, j in zip(np.append(0, ends[:-1]).astype(int), ends)]
+    return sample.column("grade").to_numpy().astype(np.int64), out, counts
 
 
 def words_in(text: str | None) -> int:

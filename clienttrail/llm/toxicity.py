@@ -2,8 +2,8 @@
 
 P(grade >= k) = sigmoid(w.x - t_k), with one weight vector for all thresholds t_1 < t_2 < ... . Grades of
 the training rows come from the labels table: 0 for documents labelled not toxic; the toxic ones are
-ordered by the share of their features' weight that speaks for toxicity in the training rows, the lower
-half being grade 1 and the upper half grade 2. Severity is the expected grade.
+ordered by the weight of their features that speak for toxicity in the training rows, the lower half
+being grade 1 and the upper half grade 2. Severity is the expected grade.
 """
 
 from __future__ import annotations
@@ -97,8 +97,7 @@ def grades_of(rows: Rows, toxic: np.ndarray) -> np.ndarray:
     totals = np.maximum(np.bincount(toxic, minlength=2), 1)[:, None]
     odds = (present + 0.5) / (totals - present + 0.5)
     speaks = (np.log(odds[1] / odds[0]) >= SPEAKS_FROM).astype(float)
-    whole = np.array([max(v.sum(), 1e-9) for _, v in rows])
-    share = features.times(speaks[:, None])[:, 0] / whole
+    share = features.times(speaks[:, None])[:, 0]
     middle = np.median(share[toxic == 1]) if toxic.any() else 0.0
     return np.where(toxic == 0, 0, np.where(share <= middle, 1, 2))
 
