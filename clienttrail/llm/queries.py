@@ -35,5 +35,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+# All windows of all texts, counted as text.
+_SUBSTRING_SQL = r"""
+    WITH cut AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+        FROM documents),
+    starts AS (
+        SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i
+        FROM cut WHERE len(words) >= 35),
+    windows AS (
+        SELECT doc_id, i, array_to_string(words[i:i + 34], ' ') AS word_window FROM starts),
+    repeated AS (
+        SELECT word_window FROM windows GROUP BY word_window HAVING count(*) > 1),
+    removed AS (
+        SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS place
+        FROM windows SEMI JOIN repeated USING (word_window)),
+    places AS (
+        SELECT doc_id, list(place) AS gone FROM removed GROUP BY doc_id)
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+           CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+           sha256(array_to_string(list_filter(words, lambda w, k:
+               NOT list_contains(coalesce(gone, CAST([] AS BIGINT[])), k)), ' ')) AS kept_sha256
+    FROM cut LEFT JOIN places USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Statements for what SQL can express; the others are tested against brute force."""
+    return {"op10_fm_substring_dedup": _SUBSTRING_SQL}

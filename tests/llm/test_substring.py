@@ -124,3 +124,16 @@ def test_matching_statistics(longest):
         for i in range(len(own)):
             n = min(longest, len(own) - i)
             assert (length[start + i], weight[start + i]) == (n, count[tuple(own[i : i + n])])
+
+
+def test_against_sql(spark, small_dir, small_documents):
+    import duckdb
+
+    from clienttrail.llm.queries import oracle_sql
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{small_dir}/documents.parquet'")
+    wanted = con.execute(oracle_sql()["op10_fm_substring_dedup"]).fetchall()
+    got = substring.op10_fm_substring_dedup(spark, small_dir)
+    assert got.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    assert sorted(map(tuple, got.collect())) == sorted(wanted)
