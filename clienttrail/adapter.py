@@ -47,28 +47,25 @@ def _lookup(spark: SparkSession, sf_dir: str, table: str, schema: str) -> DataFr
     return _read(spark, sf_dir, table, schema).groupBy(key).agg(F.max(value).alias(value))
 
 
-def lifecycle_events(spark: SparkSession, sf_dir: str, with_region: bool = True) -> DataFrame:
+def lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in the raw schema, with gaps in every field that staging fills or drops.
 
     The region is that of the user as a customer. Plain left joins to scans add it: Spark
     broadcasts what is small, and splits the join to customers if one user has very many events.
-    Without the region (null then), which few operators read, the joins are saved.
+    Where nobody reads the region, Spark drops the joins, as the lookups have one row per key.
     """
     # A pattern finds the one number in the JSON several times faster than a JSON parser.
     events = _read(spark, sf_dir, "events", EVENTS).withColumn(
         "k", F.expr("""try_cast(regexp_extract(props, '"k": *([0-9]+)') AS bigint)""")
     )
-    if with_region:
-        customer = _lookup(spark, sf_dir, "customer", CUSTOMER)
-        nation = _lookup(spark, sf_dir, "nation", NATION)
-        region = _lookup(spark, sf_dir, "region", REGION)
-        events = (
-            events.join(customer, F.expr("user_id = c_custkey"), "left")
-            .join(nation, F.expr("c_nationkey = n_nationkey"), "left")
-            .join(region, F.expr("n_regionkey = r_regionkey"), "left")
-        )
-    else:
-        events = events.withColumn("r_name", F.lit(None).cast("string"))
+    customer = _lookup(spark, sf_dir, "customer", CUSTOMER)
+    nation = _lookup(spark, sf_dir, "nation", NATION)
+    region = _lookup(spark, sf_dir, "region", REGION)
+    events = (
+        events.join(customer, F.expr("user_id = c_custkey"), "left")
+        .join(nation, F.expr("c_nationkey = n_nationkey"), "left")
+        .join(region, F.expr("n_regionkey = r_regionkey"), "left")
+    )
     return events.selectExpr(*[f"{FIELDS[c]} AS {c}" for c in RAW_COLUMNS])
 
 

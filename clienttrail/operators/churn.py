@@ -246,15 +246,19 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     position = F.floor((F.col("value") - lo) / F.nullif(width, F.lit(0.0)))
     counts = (
         values.withColumn("limits", limits.scalar())
-        .groupBy(F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("filled"))
+        .groupBy(
+            F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int").alias("bin"),
+            "limits",
+        )
+        .agg(F.count(F.lit(1)).alias("clients"))
+    )
+    # One row with at most `bins` counts, from which every bin takes its own.
+    filled = counts.groupBy("limits").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "clients"))).alias("filled")
     )
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     return (
-        limits.where("limits.lo IS NOT NULL")
-        .select("limits", numbers)
-        .join(counts, "bin", "left")
-        .withColumn("clients", F.coalesce("filled", F.lit(0)))
+        filled.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+        .withColumn("clients", F.coalesce(F.try_element_at("filled", F.col("bin")), F.lit(0)))
         .select(
             "bin",
             (lo + F.col("bin") * width).alias("bin_start"),

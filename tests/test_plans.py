@@ -85,6 +85,47 @@ def test_no_cross_join_and_no_python(spark, name):
         assert operator not in text
 
 
+# Queries whose rows show a region, or findings that may come from one: scans of the lookup table.
+REGION_READERS = {
+    "stage_cast": 1,
+    "stage_unreadable": 0,
+    "stage_fill": 1,
+    "staged_events": 1,
+    "risk_by_region": 1,
+    "chk_unknown_values": 1,
+    "chk_unknown_values_strict": 1,
+    "docs_events": 1,
+    "event_distribution": 1,
+    "inconsistencies": 1,
+    "inconsistency_counts": 1,
+    "client_event_details": 2,
+    "unknown_reason_counts": 1,
+    "scenario_summary": 1,
+    "scenario_insights": 1,
+    "problem_events": 1,
+    "question_counts": 1,
+    "affected_monthly": 1,
+    "affected_sample": 1,
+}
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+@pytest.mark.parametrize("name", list(entry.own_queries()))
+def test_lookup_is_joined_only_for_regions(spark, name):
+    text = plan(entry.own_queries()[name](spark, SF_DIR))
+    scans = len(re.findall(r"FileScan[^\n]*customer\.parquet", text))
+    assert scans == REGION_READERS.get(name, 0)
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+def test_asked_findings_read_little(spark):
+    spread = plan(entry.own_queries()["application_spread"](spark, SF_DIR))
+    assert len(re.findall(r"FileScan[^\n]*events\.parquet", spread)) == 1
+    reasons = plan(entry.own_queries()["unknown_reason_counts"](spark, SF_DIR))
+    assert len(re.findall(r"FileScan[^\n]*events\.parquet", reasons)) == 1
+    assert "client_id" not in "".join(re.findall(r"HashAggregate\(keys=\[[^\]]*\]", reasons))
+
+
 def test_large_groups_join_by_hash_and_are_read_once_more(table):
     events = table.drop("event_rank")
     ranked = ranking.with_event_rank(events, hot_rows=3, slice_rows=2)

@@ -59,6 +59,13 @@ def test_cut_groups_rank_like_whole_ones(spark, hot_rows, slice_rows, copies):
     assert_ranked(df, with_event_rank(df, hot_rows, slice_rows, copies))
 
 
+def test_both_ways_give_the_same_rows(spark):
+    """Row by row, also for tied rows, null keys and copies."""
+    df = skewed(spark)
+    whole = Counter(map(tuple, with_event_rank(df).collect()))
+    assert whole == Counter(map(tuple, with_event_rank(df, 5, 3, 2).collect()))
+
+
 def test_exact_copies(spark):
     one = dict(record_id=5, client_id=1, event_type="applied", event_date="2023-01-01")
     later = {**one, "record_id": 6}
