@@ -28,8 +28,10 @@ POOL_ROWS = 100
 CORE, STEPS = 0.75, 5
 UNIT = 1024
 #: Least standard deviation of each statistic (in its own unit): variances are raised by its square, so
-#: that a statistic that hardly varies in a pool does not condemn small differences.
-FLOORS = {"length": 0.1, "symbols": 0.4, "lines": 1.0, "repeats": 1.0, "size": 0.8}
+#: that a statistic that hardly varies in a pool does not condemn small differences. In a pool without any,
+#: symbols beyond 7 % of the characters, or duplicate lines or repeated words beyond 12 % of the words, are
+#: rejected: floors times the root of CUTOFF stay well within each statistic's range.
+FLOORS = {"length": 0.1, "symbols": 0.4, "lines": 0.5, "repeats": 0.5, "size": 0.8}
 #: Squared distance beyond which a text is rejected: the chi-square quantile of five degrees of freedom
 #: at one in ten thousand.
 CUTOFF = 25.74

@@ -116,6 +116,21 @@ def test_outliers_like_numpy(frame):
     assert [got[i]["kept"] for i in range(200)] == [i % 10 != 0 for i in range(200)]
 
 
+def test_repeats_and_lines_alone_reject(frame):
+    """In a pool where no other text repeats anything."""
+    rng = np.random.default_rng(8)
+    rows = [(i, made_text(rng, False), "en", "a") for i in range(150)]
+    words = [w for _, text, *_ in rows for w in text.split()][:400]
+    own, again = words[:110], words[200:210]
+    rows.append((200, " ".join(own[:60] + again[:5] * 9), "en", "a"))
+    rows.append((201, " ".join(own) + "\n" + "\n".join([" ".join(again[:3])] * 30), "en", "a"))
+    rows.append((202, " ".join(own + again[:3] + own[:3]), "en", "a"))
+    got = {r["doc_id"]: r for r in quality.judge_quality(frame(rows)).collect()}
+    assert 40 <= 100 * got[200]["n_repeat_words"] / got[200]["n_words"] <= 50
+    assert not got[200]["base_failed"] and not got[201]["base_failed"]
+    assert [got[i]["kept"] for i in (200, 201, 202)] == [False, False, True]
+
+
 def test_small_sources_share_an_estimate(frame):
     rng = np.random.default_rng(6)
     rows = [(i, made_text(rng, i % 20 == 3), "en", f"s{i % 4}") for i in range(160)]
