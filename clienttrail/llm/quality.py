@@ -21,8 +21,8 @@ from clienttrail.llm.common import read_table, stored
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: Rows an estimate of its own takes; smaller sources share one in their language, and languages with
-#: fewer rows left are not judged.
+#: Rows an estimate of its own takes; smaller sources share one in their language, or where they have fewer
+#: rows together, are judged by that of all its rows. Languages with fewer rows are not judged.
 POOL_ROWS = 100
 #: Share of a pool that estimates rest on, and concentration steps from each of the two starts.
 CORE, STEPS = 0.75, 5
@@ -125,7 +125,11 @@ def _vector() -> list[Column]:
 
 
 def _pooled(rows: DataFrame) -> DataFrame:
-    """Add pool: language and source, or the language's small sources, or null if still too few."""
+    """Add pool and whole.
+
+    pool: language and source, or the language's small sources, or if those are too few the whole language,
+    or null if that is too small as well. whole: the pool of the whole language where some rows need it.
+    """
     lang = F.coalesce(F.concat(F.lit("l"), "lang"), F.lit("none"))
     source = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("none"))
     own = F.to_json(F.array(lang, source))
@@ -134,12 +138,16 @@ def _pooled(rows: DataFrame) -> DataFrame:
     counts = judged.groupBy("own", "rest").agg(F.count("*").alias("n"))
     small = counts.withColumn("pool", F.when(F.col("n") >= POOL_ROWS, F.col("own")))
     rest_rows = F.sum(F.when(F.col("pool").isNull(), F.col("n"))).over(Window.partitionBy("rest"))
-    pools = small.withColumn("rest_rows", rest_rows).select(
+    all_rows = F.sum("n").over(Window.partitionBy("rest"))
+    needed = (F.col("rest_rows") < POOL_ROWS) & (F.col("all_rows") >= POOL_ROWS)
+    whole = F.when(needed, F.concat(F.lit("whole"), F.col("rest")))
+    pools = small.withColumns({"rest_rows": rest_rows, "all_rows": all_rows}).select(
         F.col("own").alias("of"),
-        F.coalesce("pool", F.when(F.col("rest_rows") >= POOL_ROWS, F.col("rest"))).alias("pool"),
+        F.coalesce("pool", F.when(F.col("rest_rows") >= POOL_ROWS, F.col("rest")), whole).alias("pool"),
+        whole.alias("whole"),
     )
     joined = keyed.join(pools, F.col("own") == F.col("of"), "left")
-    return joined.select(*rows.columns, "pool")
+    return joined.select(*rows.columns, "pool", "whole")
 
 
 def _pairs() -> list[tuple[int, int]]:
@@ -264,8 +272,8 @@ def judge_quality(documents: DataFrame) -> DataFrame:
     """Per row: doc_id, the five statistics, base_failed, kept, distance.
 
     base_failed: fewer than 50 words, or over half the words in repeated windows. Others are rejected if
-    their squared distance under the estimate of their language and source, over its scale, exceeds
-    CUTOFF. Null languages and sources are values of their own. distance is null for rows not judged:
+    their squared distance under the estimate of their pool (language and source, or more of the language),
+    over its scale, exceeds CUTOFF. Null languages and sources are values of their own. distance is null for rows not judged:
     failed ones, and those of languages with too few rows, which are kept.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (
@@ -278,7 +286,9 @@ def judge_quality(documents: DataFrame) -> DataFrame:
         _pooled(rows).select("*", *[F.when(~F.col("base_failed"), v).alias(n) for v, n in zip(_vector(), _NAMES)]),
         "pooled",
     )
-    vectors = pooled.where("not base_failed and pool is not null").select("pool", *_NAMES)
+    # Rows of large sources count in the whole language too where others need its estimate.
+    pools = F.explode(F.array_distinct(F.array_compact(F.array("pool", "whole"))))
+    vectors = pooled.where("not base_failed and pool is not null").select(pools.alias("pool"), *_NAMES)
     best = robust_estimates(vectors)
     judged = _with_distance(pooled.join(best.withColumnRenamed("pool", "of"), F.col("pool") == F.col("of"), "left"))
     distance = F.when(~F.col("base_failed"), F.col("distance") / F.col("scale"))

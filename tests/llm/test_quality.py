@@ -141,6 +141,16 @@ def test_small_sources_share_an_estimate(frame):
     assert all(got[i]["kept"] and got[i]["distance"] is None for i in [*range(1000, 1005), 2000])
 
 
+def test_few_rows_of_small_sources_are_judged_by_their_language(frame):
+    rng = np.random.default_rng(7)
+    rows = [(i, made_text(rng, False), "en", f"a{i % 2}") for i in range(240)]
+    rows += [(1000 + i, made_text(rng, i < 3), "en", f"small{i % 2}") for i in range(6)]
+    got = {r["doc_id"]: r for r in quality.judge_quality(frame(rows)).collect()}
+    assert len(got) == len(rows) and all(r["distance"] is not None for r in got.values())
+    assert [got[i]["kept"] for i in range(1000, 1006)] == [False] * 3 + [True] * 3
+    assert all(got[i]["kept"] for i in range(240))
+
+
 def test_odd_rows(frame):
     got = quality.judge_quality(frame(ODD)).collect()
     assert len(got) == len(ODD)
