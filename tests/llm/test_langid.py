@@ -81,6 +81,17 @@ def test_stage(spark, frame):
     assert langid.keep_known_languages(spark, frame([]), "").count() == 0
 
 
+def test_stage_rejects_languages_not_learned(spark):
+    folder = "/root/testdata/sf0.01"
+    documents = spark.read.parquet(f"{folder}/documents.parquet").limit(1000)
+    greek = "η γρήγορη αλεπού πηδάει πάνω από τον τεμπέλη σκύλο και τρέχει στο δάσος κάθε πρωί"
+    finnish = "nopea kettu hyppää laiskan koiran yli ja juoksee metsään joka aamu sateen jälkeen"
+    odd = spark.createDataFrame([(-1, greek), (-2, finnish)], "doc_id long, text string")
+    both = documents.unionByName(odd, allowMissingColumns=True)
+    kept = {r["doc_id"] for r in langid.keep_known_languages(spark, both, folder).select("doc_id").collect()}
+    assert not kept & {-1, -2} and len(kept) > 0.98 * documents.count()
+
+
 def test_rows_learnt_from_are_bounded(spark, frame):
     rows = langid.training_rows(frame(made(200)), per_language=10)
     assert rows.groupby("lang").size().to_dict() == {"de": 10, "en": 10}
