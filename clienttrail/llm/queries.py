@@ -13,6 +13,7 @@ from clienttrail.llm.mixing import op4_soft_mixing
 from clienttrail.llm.neighbours import op6_stable_projections
 from clienttrail.llm.packing import op5_best_fit_packing
 from clienttrail.llm.quality import op1_mcd_quality
+from clienttrail.llm.sharding import op11_bounded_ring
 from clienttrail.llm.simhash import op7_simhash_blocks
 from clienttrail.llm.substring import op10_fm_substring_dedup
 from clienttrail.llm.token_output import op3_packed_matrices
@@ -31,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ordinal_toxicity": op8_ordinal_toxicity,
         "op9_string_kernel_language": op9_string_kernel_language,
         "op10_fm_substring_dedup": op10_fm_substring_dedup,
+        "op11_bounded_ring": op11_bounded_ring,
         "pipeline": corpus_pipeline.run,
     }
 
