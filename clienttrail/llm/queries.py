@@ -7,6 +7,8 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from clienttrail.llm import divergence
+from clienttrail.llm.divergence import op13_source_divergence
 from clienttrail.llm.html_text import op2_text_density
 from clienttrail.llm.langid import op9_string_kernel_language
 from clienttrail.llm.mixing import op4_soft_mixing
@@ -15,6 +17,7 @@ from clienttrail.llm.packing import op5_best_fit_packing
 from clienttrail.llm.quality import op1_mcd_quality
 from clienttrail.llm.sharding import op11_bounded_ring
 from clienttrail.llm.simhash import op7_simhash_blocks
+from clienttrail.llm.spelling import op12_spelling_forms
 from clienttrail.llm.substring import op10_fm_substring_dedup
 from clienttrail.llm.token_output import op3_packed_matrices
 from clienttrail.llm.toxicity import op8_ordinal_toxicity
@@ -33,6 +36,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_string_kernel_language": op9_string_kernel_language,
         "op10_fm_substring_dedup": op10_fm_substring_dedup,
         "op11_bounded_ring": op11_bounded_ring,
+        "op12_spelling_forms": op12_spelling_forms,
+        "op13_source_divergence": op13_source_divergence,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -63,4 +68,4 @@ _SUBSTRING_SQL = r"""
 
 def oracle_sql() -> dict[str, str]:
     """Statements for what SQL can express; the others are tested against brute force."""
-    return {"op10_fm_substring_dedup": _SUBSTRING_SQL}
+    return {"op10_fm_substring_dedup": _SUBSTRING_SQL, "op13_source_divergence": divergence.SQL}

@@ -48,6 +48,6 @@ def test_run_without_documents(spark, small_dir, small_documents, tmp_path):
 
 def test_names():
     names = list(queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 12)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(oracle_sql()) <= set(names)
     assert corpus_pipeline.ORACLE_SQL is None
