@@ -224,7 +224,8 @@ def _priced(kept: DataFrame, groups: DataFrame) -> DataFrame:
         F.col("entries.total").alias("counts"),
         "kept",
     )
-    together = terms.select(*columns).unionAll(about.select(*columns))
+    # Dealt by block, whichever way the sizes were joined: all blocks of a language may be one task's else.
+    together = terms.select(*columns).unionAll(about.select(*columns)).repartition("lang", "spread", "block")
     return together.groupBy("lang", "spread", "block").applyInArrow(_price_block, _OUT)
 
 
