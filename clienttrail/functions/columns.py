@@ -32,11 +32,11 @@ def lenient_long(col: Column, dtype: T.DataType, cut: bool = False) -> Column:
     if isinstance(dtype, T.IntegralType):
         return col.cast("bigint")
     if isinstance(dtype, T.StringType):
-        text = F.when(col.rlike(_NUMBER), F.trim(col))
-        number = text.try_cast("double")
-        whole = F.when(number == F.floor(number), number) if not cut else number
-        exact = F.when(text.rlike(r"^[+-]?\d+$"), text).try_cast("bigint")
-        return F.coalesce(exact, whole.try_cast("bigint"))
+        # Whole numbers need no pattern; a small expression also leaves the generated code small enough
+        # for the JVM to compile it together with what comes before.
+        number = F.when(col.rlike(_NUMBER), F.trim(col)).try_cast("double")
+        whole = number if cut else F.when(number % 1 == 0, number)
+        return F.coalesce(col.try_cast("bigint"), whole.try_cast("bigint"))
     number = col if cut else F.when(col == F.floor(col), col)
     return number.try_cast("bigint")
 

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Event times are zone-less; only text formatting of instants would use the zone.
     "spark.sql.session.timeZone": "UTC",
+    # Generated code beyond this size is never compiled by the JVM: such stages run operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
