@@ -1,6 +1,8 @@
 from clienttrail.functions.columns import (
     as_of_literal,
+    date_order_numbers,
     date_text,
+    day_first_timestamp,
     elapsed_days,
     elapsed_days_sql,
     lenient_long,
@@ -15,7 +17,9 @@ from clienttrail.functions.columns import (
 
 __all__ = [
     "as_of_literal",
+    "date_order_numbers",
     "date_text",
+    "day_first_timestamp",
     "elapsed_days",
     "elapsed_days_sql",
     "lenient_long",

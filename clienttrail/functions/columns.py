@@ -17,6 +17,10 @@ _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 # Patterns tried after ISO; a month comes before its day.
 DATE_FORMATS = ("M/d/yyyy[ H:mm[:ss]]", "MMM d, yyyy[ H:mm[:ss]]", "MMMM d, yyyy", "d MMM yyyy")
 
+# Dates in figures whose first two numbers may be month and day or day and month.
+DAY_FIRST_FORMATS = ("d/M/yyyy[ H:mm[:ss]]", *DATE_FORMATS[1:])
+_TWO_ORDERS = r"^\s*(\d{1,2})/(\d{1,2})/\d{4}\b"
+
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _YEAR_ONLY = r"^\s*[+-]?\d+\s*$"
 _OFFSET = r"\s*(?:Z|([+-])(\d{2}):?(\d{2}))\s*$"
@@ -67,6 +71,18 @@ def lenient_timestamp(
     return F.when(col.rlike(_HAS_OFFSET), moved).otherwise(F.coalesce(plain, *extra))
 
 
+def date_order_numbers(col: Column) -> tuple[Column, Column]:
+    """The first and second number of a date like 5/13/2023, null for other text."""
+    first, second = (F.regexp_extract(col, _TWO_ORDERS, g).try_cast("int") for g in (1, 2))
+    return first, second
+
+
+def day_first_timestamp(col: Column) -> Column:
+    """The reading of a date like 13/5/2023 whose day comes first; null for other text."""
+    read = F.try_to_timestamp(F.trim(col), F.lit(DAY_FIRST_FORMATS[0]))
+    return F.when(col.rlike(_TWO_ORDERS), read.cast("timestamp_ntz"))
+
+
 def null_if_token(col: Column, tokens: Iterable[str]) -> Column:
     """Null where the text is one of the given missing-value tokens."""
     return F.when(~col.isin(*tokens), col)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clienttrail.functions import as_of_literal, elapsed_days_sql, month_text
-from clienttrail.operators.profile import client_profile
+from clienttrail.operators.profile import client_plan_profile, client_profile
 from clienttrail.schema import (
     DETAILS_SCHEMA,
     DOCS_SUBMITTED,
@@ -141,6 +141,18 @@ _SEQUENCE = _ClientCheck(
 )
 
 
+_PLAN_CHANGES = _ClientCheck(
+    "unique_plans > 1",
+    "'Client has multiple different plans across events'",
+    {
+        "unique_plans": "unique_plans",
+        "all_plans": "array_join(plans, ',')",
+        "first_event": "first_event",
+        "last_event": "last_event",
+    },
+)
+
+
 def _long_inactive(as_of: datetime | str) -> _ClientCheck:
     idle = elapsed_days_sql("last_event", as_of_literal(as_of))
     return _ClientCheck(
@@ -329,9 +341,9 @@ def inconsistencies(
 
     Only what the types need is read and aggregated.
 
-    Each client's profile yields one row per check that fires; unknown values and plan changes,
-    which are not client counts or dates, are added by name. No distinct: a client or record is
-    listed once per finding.
+    Each client's profile yields one row per check that fires; unknown values, which are of records and
+    not of clients, are added by name. All checks together read the events twice and shuffle them once, for
+    the profile. No distinct: a client or record is listed once per finding.
     """
     checks = {
         CHURNED_WITHOUT_SIGNED: _CHURNED_WITHOUT_SIGNED,
@@ -341,14 +353,20 @@ def inconsistencies(
         SEQUENCE_VIOLATION: _SEQUENCE,
         DOCS_PATTERN: _DOCS_PATTERN,
     }
-    others = {UNKNOWN_VALUES: unknown_values, PLAN_INCONSISTENCY: plan_changes}
-    if types is not None:
-        if unknown := set(types) - checks.keys() - others.keys():
-            raise ValueError(f"unknown finding types: {', '.join(sorted(unknown))}")
-        checks = {name: c for name, c in checks.items() if name in types}
-        others = {name: of for name, of in others.items() if name in types}
-    parts = [_client_findings(events, checks)] if checks else []
-    parts += [of(events) for of in others.values()]
+    wanted = FINDING_TYPES if types is None else types
+    if unknown := set(wanted) - set(FINDING_TYPES):
+        raise ValueError(f"unknown finding types: {', '.join(sorted(unknown))}")
+    checks = {name: c for name, c in checks.items() if name in wanted}
+    plans = PLAN_INCONSISTENCY in wanted
+    if checks and plans:
+        profile = client_plan_profile(events)
+        parts = [_client_findings(profile, checks | {PLAN_INCONSISTENCY: _PLAN_CHANGES})]
+    elif checks:
+        parts = [_client_findings(client_profile(events), checks)]
+    else:
+        parts = [plan_changes(events)] if plans else []
+    if UNKNOWN_VALUES in wanted:
+        parts.append(unknown_values(events))
     if not parts:
         raise ValueError("no finding types")
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -361,7 +379,7 @@ def inconsistencies(
     )
 
 
-def _client_findings(events: DataFrame, checks: dict[str, _ClientCheck]) -> DataFrame:
+def _client_findings(profile: DataFrame, checks: dict[str, _ClientCheck]) -> DataFrame:
     """A row for each client and each of the checks on its profile that fires."""
     fired = ", ".join(f"CASE WHEN {c.fires} THEN '{name}' END" for name, c in checks.items())
 
@@ -371,8 +389,7 @@ def _client_findings(events: DataFrame, checks: dict[str, _ClientCheck]) -> Data
 
     fields = dict.fromkeys(f for check in checks.values() for f in check.fields)
     return (
-        client_profile(events)
-        .selectExpr("*", f"explode(array({fired})) AS inconsistency_type")
+        profile.selectExpr("*", f"explode(array({fired})) AS inconsistency_type")
         .where("inconsistency_type IS NOT NULL")
         .selectExpr(
             "client_id",

@@ -32,7 +32,21 @@ def with_event_rank(
 
     Looking for large groups runs a small job over the two group columns right away.
     """
-    hot = collect_hot_keys(events, GROUP, hot_rows)
+    return rank_events(
+        events, collect_hot_keys(events, GROUP, hot_rows), slice_rows, copies_per_task_row
+    )
+
+
+def rank_events(
+    events: DataFrame,
+    hot: DataFrame | None,
+    slice_rows: int = SLICE_ROWS,
+    copies_per_task_row: int = COPIES_PER_TASK_ROW,
+) -> DataFrame:
+    """with_event_rank() for large groups that are known already (None: there are none).
+
+    Nothing runs while the plan is built. Which groups are listed decides how they are cut, not the ranks.
+    """
     if hot is None:
         return _rank_whole(events)
     ordinary = _rank_whole(join_hot(events, hot, GROUP, "left_anti"))

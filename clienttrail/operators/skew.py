@@ -11,19 +11,16 @@ HOT_ROWS = 20_000_000
 BUCKETS = 1 << 20
 
 
-def collect_hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
-) -> DataFrame | None:
-    """Key combinations with more than `hot_rows` rows, or None if there are none.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Key combinations with more than `hot_rows` rows; a plan, nothing runs here.
 
-    There are at most (all rows / hot_rows) of them, so they fit in the driver and in a broadcast;
-    being collected, they are the same wherever the plan uses them. Rows are counted per hash bucket
-    first, which shuffles almost nothing, and only keys in crowded buckets are counted exactly:
-    without a crowded bucket, adaptive execution drops the exact count.
+    There are at most (all rows / hot_rows) of them. Rows are counted per hash bucket first, which shuffles
+    almost nothing, and only keys in crowded buckets are counted exactly: without a crowded bucket, adaptive
+    execution drops the exact count.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).alias("_bucket")
     crowded = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    hot = (
+    return (
         df.select(*keys, bucket)
         .join(F.broadcast(crowded.select("_bucket")), "_bucket", "left_semi")
         .groupBy(*keys)
@@ -31,6 +28,16 @@ def collect_hot_keys(
         .where(F.col("_n") > hot_rows)
         .select(*keys)
     )
+
+
+def collect_hot_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame | None:
+    """hot_keys(), found right away, or None if there are none.
+
+    They fit in the driver and in a broadcast; being collected, they are the same wherever the plan uses them.
+    """
+    hot = hot_keys(df, keys, hot_rows)
     found = hot.collect()
     return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 

@@ -9,9 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from clienttrail.operators import checks, churn, funnel, reports, staging
+from clienttrail.operators.ranking import GROUP, rank_events
+from clienttrail.operators.skew import HOT_ROWS, hot_keys
 from clienttrail.schema import (
     CHURN_SCHEMA,
     DETAILS_SCHEMA,
@@ -20,9 +23,19 @@ from clienttrail.schema import (
     FUNNEL_SCHEMA,
     NULL_TOKENS,
 )
-from clienttrail.sources import read_feature, read_raw_csv, read_staged, write_table
+from clienttrail.sources import (
+    ClientTables,
+    per_client,
+    read_feature,
+    read_raw_csv,
+    read_staged,
+    write_table,
+)
 
 UNREADABLE = "staging_unreadable_values"
+PARSED = "staging_parsed_records"
+HOT_GROUPS = "staging_hot_groups"
+DATE_ORDER = "staging_date_order"
 # Names of the feature tables.
 STAGED = "f_staging_events"
 FUNNEL = "f_funnel_data"
@@ -43,10 +56,56 @@ def run_staging(
     multiline: bool = False,
 ) -> str:
     """Raw CSV -> staged event table, and beside it the table of values that could not be read."""
+    run_parse(spark, raw_path, out_dir, date_formats, null_tokens, multiline)
+    return run_rank(spark, out_dir, fmt)
+
+
+def run_parse(
+    spark: SparkSession,
+    raw_path: str | list[str],
+    out_dir: str,
+    date_formats: Sequence[str] | None = None,
+    null_tokens: Iterable[str] = NULL_TOKENS,
+    multiline: bool = False,
+    hot_rows: int = HOT_ROWS,
+) -> str:
+    """Raw CSV -> parsed records, and beside them how dates are written and which groups are large; Parquet.
+
+    The CSV is read once. The order of day and month is counted over the whole column in the same pass; a
+    column that mixes both orders is read month first and reported as `mixed`. Events are counted while they are written, and only if there are enough of them for
+    a large group are the groups counted, from the two columns written.
+    """
     source = read_raw_csv(spark, raw_path, null_tokens, multiline, keep_torn=True)
     raw = staging.normalise_columns(source)
-    write_table(staging.unreadable_values(raw, date_formats), f"{out_dir}/{UNREADABLE}", fmt)
-    return write_table(staging.stage_events(raw, date_formats), f"{out_dir}/{STAGED}", fmt)
+    counts = [c.alias(name) for name, c in staging.date_order_counts(raw).items()]
+    rows, dates = Observation(), Observation()
+    parsed = staging.parse_events(raw.observe(dates, *counts), date_formats)
+    path = f"{out_dir}/{PARSED}"
+    write_table(parsed.observe(rows, F.count("event").alias("events")), path)
+
+    order = spark.createDataFrame([dates.get], "day_first long, month_first long, ambiguous long")
+    order = order.select("*", staging.date_order_of("day_first", "month_first").alias("date_order"))
+    write_table(order.coalesce(1), f"{out_dir}/{DATE_ORDER}")
+    events = staging.parsed_events(spark.read.schema(parsed.schema).parquet(path))
+    hot = hot_keys(events, GROUP, hot_rows)
+    if rows.get["events"] <= hot_rows:
+        hot = spark.createDataFrame([], hot.schema)
+    write_table(hot.coalesce(1), f"{out_dir}/{HOT_GROUPS}")
+    return path
+
+
+def run_rank(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> str:
+    """Parsed records -> staged event table and unreadable values; the raw files are not needed any more.
+
+    Dates in figures are read with the day first if all of the column that tell are written so.
+    """
+    parsed = spark.read.parquet(f"{out_dir}/{PARSED}")
+    day_first = spark.read.parquet(f"{out_dir}/{DATE_ORDER}").first()["date_order"] == "day"
+    losses = staging.parsed_losses(parsed, day_first)
+    write_table(losses, f"{out_dir}/{UNREADABLE}", fmt)
+    hot = spark.read.parquet(f"{out_dir}/{HOT_GROUPS}")
+    events = staging.parsed_events(parsed, day_first)
+    return write_table(rank_events(events, None if hot.isEmpty() else hot), f"{out_dir}/{STAGED}", fmt)
 
 
 def run_funnel(
@@ -82,13 +141,15 @@ def run_inconsistencies(
 ) -> tuple[str, str, str]:
     """Staged events -> findings, events of affected clients and the event distribution.
 
-    `ordered` sorts the findings as the report lists them, at the price of a range shuffle.
+    Findings are partitioned on disk by type, so that a report reads the types it shows. `ordered` sorts them
+    as the report lists them, at the price of a range shuffle; they are then one table in that order.
     """
     staged = read_staged(spark, staged_path, fmt)
     found = checks.inconsistencies(staged, as_of)
     if ordered:
-        found = checks.in_report_order(found)
-    path = write_table(found, f"{out_dir}/{FINDINGS}", fmt)
+        path = write_table(checks.in_report_order(found), f"{out_dir}/{FINDINGS}", fmt)
+    else:
+        path = write_table(found, f"{out_dir}/{FINDINGS}", fmt, partition_by=["inconsistency_type"])
     findings = read_feature(spark, path, FINDINGS_SCHEMA, fmt)
     return (
         path,
@@ -99,6 +160,26 @@ def run_inconsistencies(
     )
 
 
+def run_client_layers(
+    spark: SparkSession, tables: ClientTables, out_dir: str, as_of: datetime | str, fmt: str = "parquet"
+) -> dict[str, str]:
+    """Funnel, churn, findings and the events of affected clients from tables bucketed by client.
+
+    Clients in buckets need no shuffle; those with very many events are aggregated before theirs, as ever.
+    """
+
+    def details(events: DataFrame) -> DataFrame:
+        return checks.client_event_details(events, checks.inconsistencies(events, as_of))
+
+    layers = {
+        FUNNEL: per_client(tables, funnel.client_funnel),
+        CHURN: per_client(tables, lambda events: churn.client_churn(events, as_of)),
+        FINDINGS: per_client(tables, lambda events: checks.inconsistencies(events, as_of)),
+        DETAILS: per_client(tables, details),
+    }
+    return _write_all(layers, out_dir, fmt)
+
+
 def _write_all(tables: dict[str, DataFrame], out_dir: str, fmt: str) -> dict[str, str]:
     return {name: write_table(df, f"{out_dir}/{name}", fmt) for name, df in tables.items()}
 

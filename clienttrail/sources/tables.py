@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
@@ -66,8 +66,10 @@ def read_feature(
             .option("escape", '"')
             .csv(path)
         )
-        return read.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in schema if _is_time(f)})
-    return reader.format(fmt).load(path)
+        times = {f.name: F.col(f.name).cast(f.dataType) for f in schema if _is_time(f)}
+        return read.withColumns(times).select(*schema.names)
+    # A column that the table is partitioned by comes last when it is read.
+    return reader.format(fmt).load(path).select(*schema.names)
 
 
 def _is_time(field: T.StructField) -> bool:
@@ -85,8 +87,17 @@ def register_tables(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
-    """Write a table and return its path; CSV gets a header and dates as text."""
+def write_table(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    mode: str = "overwrite",
+    partition_by: Sequence[str] = (),
+) -> str:
+    """Write a table and return its path; CSV gets a header and dates as text.
+
+    With `partition_by` each value of these columns has a folder of its own, which filters on them prune.
+    """
     if fmt == "csv":
         # As text, a time without a fraction has none and any other keeps all its digits.
         times = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
@@ -94,7 +105,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         writer = df.write.mode(mode).option("header", True).option("escape", '"')
     else:
         writer = df.write.mode(mode)
-    writer.format(fmt).save(path)
+    writer.partitionBy(*partition_by).format(fmt).save(path)
     return path
 
 

@@ -355,6 +355,18 @@ def statements() -> dict[str, str]:
                CASE WHEN event_date IS NULL THEN 'not-a-date' ELSE '2024' END
         FROM raw WHERE event_date IS NULL OR record_id % 100 = 49""",
     )
+    sql["stage_date_order"] = _with(
+        ["raw"],
+        """
+        , counts AS (
+            SELECT count(*) FILTER (WHERE record_id % 100 = 9 AND day(event_date) > 12) AS month_first,
+                   count(*) FILTER (WHERE record_id % 100 = 9 AND day(event_date) <= 12
+                                    AND day(event_date) <> month(event_date)) AS ambiguous
+            FROM raw)
+        SELECT 'event_date' AS column_name, CAST(0 AS BIGINT) AS day_first, month_first, ambiguous,
+               CASE WHEN month_first > 0 THEN 'month' END AS date_order
+        FROM counts""",
+    )
     sql["stage_fill"] = _all("filled")
     sql["staged_events"] = _all("staged")
 

@@ -98,6 +98,59 @@ def test_other_dates_and_torn_records(spark, raw_path, staged, tmp_path):
     assert whole.where("record_id = 99").first().plan == "Two\nLines"
 
 
+def _with_dates(raw_path, path, order):
+    """The raw file with its dates in figures, in the given order of year (0), month (1) and day (2)."""
+    lines = Path(raw_path).read_text().splitlines()
+    at = lines[0].split(",").index("event_date")
+    out = [lines[0]]
+    for line in lines[1:]:
+        fields = line.split(",")
+        parts = fields[at].split("-")
+        fields[at] = "/".join(parts[i] for i in order)
+        out.append(",".join(fields))
+    path.write_text("\n".join(out) + "\n")
+    return str(path)
+
+
+def test_day_first_files_stage_right(spark, raw_path, staged, tmp_path):
+    path = _with_dates(raw_path, tmp_path / "day.csv", (2, 1, 0))
+    written = plans.run_staging(spark, path, str(tmp_path / "out"))
+    assert rows(read_staged(spark, written)) == rows(staged)
+    assert spark.read.parquet(str(tmp_path / "out" / jobs.UNREADABLE)).count() == 0
+    order = spark.read.parquet(str(tmp_path / "out" / jobs.DATE_ORDER)).first()
+    assert order["date_order"] == "day" and order["day_first"] > 0 == order["month_first"]
+    given = plans.run_staging(spark, path, str(tmp_path / "given"), date_formats=["M/d/yyyy"])
+    assert read_staged(spark, given).count() < staged.count()
+
+
+def test_raw_files_are_parsed_once(spark, raw_path, staged, tmp_path):
+    """Nothing after the first step needs the CSV, and large groups are those counted there."""
+    path = tmp_path / "events.csv"
+    path.write_text(Path(raw_path).read_text())
+    out = str(tmp_path / "out")
+    plans.run_parse(spark, str(path), out, hot_rows=2)
+    path.unlink()
+    assert spark.read.parquet(f"{out}/{jobs.HOT_GROUPS}").count() == (
+        staged.groupBy("client_id", "event_type").count().where("count > 2").count()
+    )
+    assert rows(read_staged(spark, plans.run_rank(spark, out))) == rows(staged)
+    assert spark.read.parquet(f"{out}/{jobs.UNREADABLE}").count() == 0
+
+
+def test_layers_from_buckets(spark, staged, tmp_path):
+    from clienttrail.sources import write_client_buckets
+
+    tables = write_client_buckets(staged, str(tmp_path / "buckets"), "layers_by_client", 4, hot_rows=3)
+    assert tables.large is not None
+    written = plans.run_client_layers(spark, tables, str(tmp_path / "out"), AS_OF)
+    clients = read_feature(spark, written[jobs.FUNNEL], FUNNEL_SCHEMA)
+    assert rows(clients) == rows(funnel.client_funnel(staged))
+    findings = read_feature(spark, written[jobs.FINDINGS], FINDINGS_SCHEMA)
+    wanted = checks.inconsistencies(staged, AS_OF)
+    assert sorted(map(repr, rows(findings))) == sorted(map(repr, rows(wanted)))
+    spark.sql("DROP TABLE layers_by_client")
+
+
 def test_csv_keeps_every_value(spark, tmp_path):
     schema = "id long, at timestamp_ntz, text string"
     times = [datetime(2023, 1, 5), datetime(2023, 1, 5, 10, 0, 0, 123456), datetime(2023, 1, 5, 10, 0, 0, 500000), None]

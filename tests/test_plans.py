@@ -56,8 +56,11 @@ def test_unknown_values_are_narrow(table):
 
 def test_all_client_checks_share_one_aggregation(table):
     findings = checks.inconsistencies(table, AS_OF)
-    assert plan(findings).count("FileScan") == 3
-    assert shuffles(findings) == 3
+    assert plan(findings).count("FileScan") == 2
+    # Events go by client and plan; what is left of them then by client.
+    assert shuffles(findings) == 2
+    by = re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", plan(findings))
+    assert [re.sub(r"#\d+L?", "", keys) for keys in by] == ["client_id", "client_id, plan"]
 
 
 def test_rank_of_ordinary_groups_is_one_shuffle(table):
@@ -89,6 +92,7 @@ def test_no_cross_join_and_no_python(spark, name):
 REGION_READERS = {
     "stage_cast": 1,
     "stage_unreadable": 0,
+    "stage_date_order": 0,
     "stage_fill": 1,
     "staged_events": 1,
     "risk_by_region": 1,
@@ -136,3 +140,57 @@ def test_large_groups_join_by_hash_and_are_read_once_more(table):
     # Ordinary rows, and the rows of large groups once for all three uses.
     scans = [line for line in final.splitlines() if "FileScan" in line]
     assert len(scans) <= 2
+
+
+def test_report_reads_the_files_of_its_type(spark, table, tmp_path):
+    from clienttrail.operators import reports
+    from clienttrail.schema import FINDINGS_SCHEMA
+    from clienttrail.sources import read_feature
+
+    findings = checks.inconsistencies(table, AS_OF)
+    path = write_table(findings, str(tmp_path / "findings"), partition_by=["inconsistency_type"])
+    written = read_feature(spark, path, FINDINGS_SCHEMA)
+    assert written.columns == FINDINGS_SCHEMA.names
+    assert sorted(map(repr, written.collect())) == sorted(map(repr, findings.collect()))
+    counts = reports.unknown_reason_counts(written)
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], ", plan(counts))
+    assert len(filters) == 1 and f"= {checks.UNKNOWN_VALUES}" in filters[0]
+    read = written.where(reports._is(checks.UNKNOWN_VALUES)).selectExpr("input_file_name() AS f").distinct()
+    assert {r.f.rsplit("/", 2)[1] for r in read.collect()} == {f"inconsistency_type={checks.UNKNOWN_VALUES}"}
+
+
+@pytest.mark.parametrize("hot_rows", [10**9, 3])
+def test_bucketed_clients_need_no_shuffle(spark, table, tmp_path, hot_rows):
+    from clienttrail.sources import per_client, read_client_buckets, write_client_buckets
+
+    def details(events):
+        return checks.client_event_details(events, checks.inconsistencies(events, AS_OF))
+
+    name = f"staged_by_client_{hot_rows}"
+    path = str(tmp_path / "buckets")
+    tables = write_client_buckets(table, path, name, 4, hot_rows)
+    assert (tables.large is None) == (hot_rows > 100)
+    for operator in (
+        funnel.client_funnel,
+        lambda e: churn.client_churn(e, AS_OF),
+        lambda e: checks.inconsistencies(e, AS_OF),
+        details,
+    ):
+        result = per_client(tables, operator)
+        assert sorted(map(repr, result.collect())) == sorted(map(repr, operator(table).collect()))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            text = plan(operator(tables.clients))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        if operator is not details:
+            assert "Exchange" not in text
+        # The union with findings of records leaves their ids, no events, to be dealt by client.
+        assert len(re.findall("Exchange hashpartitioning", text)) <= (operator is details) * 2
+    if tables.large is not None:
+        counts = table.groupBy("client_id").count().where(f"count > {hot_rows}").count()
+        assert tables.large.select("client_id").distinct().count() == counts
+    spark.sql(f"DROP TABLE {name}")
+    again = read_client_buckets(spark, path, name, 4)
+    assert again.clients.count() + (again.large.count() if again.large else 0) == table.count()
+    assert "Exchange" not in plan(funnel.client_funnel(again.clients))

@@ -185,3 +185,30 @@ def test_csv_files_with_other_headers_fail(spark, tmp_path):
     (tmp_path / "b.csv").write_text("record_id,client_id\n2,1\n")
     with pytest.raises(Exception, match="(?i)header"):
         read_raw_csv(spark, str(tmp_path)).collect()
+
+
+def test_one_pass_gives_events_and_losses(spark):
+    df = text_rows(
+        spark, {}, dict(record_id="2", client_id="7.5", event_date="?", plan=None), dict(record_id="x", sales_rep_id="5.5"),
+        dict(event_date="Jan 7, 2023"), dict(event_date="2023-01-07T10:00:00+02:00"), dict(event_date="1/5/2023"),
+    ).withColumn("torn_record", F.when(F.col("sales_rep_id") == "5.5", F.lit("x,5.5")))
+    parsed = staging.parse_events(df)
+    assert parsed.count() == df.count()
+    assert sorted(map(repr, rows(staging.parsed_events(parsed)))) == sorted(map(repr, rows(staging.clean_events(df))))
+    assert staging.parsed_events(parsed).dtypes == staging.clean_events(df).dtypes
+    assert sorted(rows(staging.parsed_losses(parsed))) == sorted(rows(staging.unreadable_values(df)))
+
+
+@pytest.mark.parametrize(
+    ("dates", "order"),
+    [
+        (["13/5/2023", "1/2/2023", "2023-01-05", "?"], "day"),
+        (["5/13/2023 6:07", "1/2/2023"], "month"),
+        (["5/13/2023", "13/5/2023"], "mixed"),
+        (["1/2/2023", "3/3/2023", None, "13/13/2023"], None),
+        ([], None),
+    ],
+)
+def test_date_order(spark, dates, order):
+    df = text_rows(spark, *[dict(event_date=d) for d in dates]) if dates else text_rows(spark, {}).limit(0)
+    assert staging.date_order(df).collect()[0]["date_order"] == order
