@@ -4,8 +4,9 @@ A 64-bit fingerprint is cut into six pieces. Fingerprints that differ in at most
 at least three pieces, so each fingerprint is filed under its twenty choices of three pieces; keys have
 about 32 bits, so chance company stays rare at billions of texts. Only distinct fingerprints are
 filed, a group of copies being one of them. Within a block only edges that span its linked parts are
-reported, never all pairs. A block with very many fingerprints is filed anew by thirteen of sixteen
-pieces: no such block can hold more than 4096 different fingerprints.
+reported, never all pairs. Blocks are counted before anything is joined: a block of two is judged from its
+least and largest fingerprint, and only larger ones are listed. Fingerprints of a block with very many are
+filed anew by more pieces, at last by thirteen of sixteen: no such block can hold more than 4096.
 """
 
 from __future__ import annotations
@@ -14,21 +15,21 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-from clienttrail.llm.common import one_row_per_document, read_table, stored, text_key, words_of
+from clienttrail.llm.common import one_row_per_document, read_table, stored, text_key, values_of
 from clienttrail.llm.components import connected_components
 
 SEED = 42
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 3
-PIECES, FINE_PIECES = 6, 16
-#: Fingerprints in one block that one task compares; larger blocks are filed by finer pieces.
+#: Pieces of a fingerprint, level by level: 20, 56, 220 and 560 choices. A block of the last level holds 4096
+#: different fingerprints at most.
+PIECES = (6, 8, 12, 16)
+#: Fingerprints in one block that one task compares; larger blocks are filed by more pieces.
 BLOCK_ROWS = 8192
 _CHUNK = 1 << 16
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -55,11 +56,13 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(bits.view("<u8")[0])
 
 
-@F.pandas_udf(LongType())
-def fingerprint_column(texts: pd.Series) -> pd.Series:
-    """fingerprint() of a text column, as the signed long with the same bits."""
-    values = np.fromiter((fingerprint(t) for t in texts), np.uint64, len(texts))
-    return pd.Series(values.view(np.int64))
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """fingerprint() of the texts, as the signed long with the same bits; one text at a time."""
+    names = ["doc_id", "key_a", "key_b"]
+    for batch in batches:
+        prints = np.fromiter(map(fingerprint, values_of(batch.column("text"))), np.uint64, len(batch))
+        arrays = [batch.column(c) for c in names] + [pa.array(prints.view(np.int64))]
+        yield pa.RecordBatch.from_arrays(arrays, [*names, "print"])
 
 
 def _masks(pieces: int, shared: int) -> list[int]:
@@ -116,24 +119,44 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def near_links(prints: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints that connect all pairs within three bits."""
-    filed = stored(_filed(prints, _masks(PIECES, PIECES - MAX_DISTANCE)), "blocks")
-    sizes = filed.groupBy("choice", "block").agg(F.count("*").alias("size")).where("size > 1")
-    shared = stored(filed.join(sizes, ["choice", "block"]), "shared")
-    lists = (
-        shared.where(F.col("size") <= block_rows)
-        .groupBy("choice", "block")
-        .agg(F.collect_list("print").alias("prints"))
-    )
-    crowded = shared.where(F.col("size") > block_rows).select("print").distinct()
-    fine = (
-        _filed(crowded, _masks(FINE_PIECES, FINE_PIECES - MAX_DISTANCE))
-        .groupBy("choice", "block")
-        .agg(F.collect_list("print").alias("prints"))
-        .where("size(prints) > 1")
+def _blocks(prints: DataFrame, pieces: int) -> DataFrame:
+    """Blocks of two prints or more: choice, block, size and the least and largest print, stored.
+
+    Counts combine before they shuffle, and most blocks end here: alone, or as a pair.
+    """
+    blocks = _filed(prints, _masks(pieces, pieces - MAX_DISTANCE)).groupBy("choice", "block")
+    summed = blocks.agg(
+        F.count("*").alias("size"), F.min("print").alias("low"), F.max("print").alias("high")
     )
-    return lists.select("prints").unionAll(fine.select("prints")).mapInArrow(_links, "a long, b long")
+    return stored(summed.where("size > 1"), "blocks")
+
+
+def _members(prints: DataFrame, pieces: int, blocks: DataFrame) -> DataFrame:
+    filed = _filed(prints, _masks(pieces, pieces - MAX_DISTANCE))
+    return filed.join(blocks.select("choice", "block"), ["choice", "block"])
+
+
+def near_links(prints: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints that connect all pairs within three bits.
+
+    Fingerprints of blocks with more than block_rows are filed by more pieces, level by level.
+    """
+    found: DataFrame | None = None
+    for level, pieces in enumerate(PIECES):
+        blocks = _blocks(prints, pieces)
+        near = F.bit_count(F.col("low").bitwiseXOR(F.col("high"))) <= MAX_DISTANCE
+        links = blocks.where((F.col("size") == 2) & near).select(F.col("low").alias("a"), F.col("high").alias("b"))
+        last = level == len(PIECES) - 1
+        larger = blocks.where(F.col("size") > 2)
+        listed = larger if last else larger.where(F.col("size") <= block_rows)
+        lists = _members(prints, pieces, listed).groupBy("choice", "block")
+        lists = lists.agg(F.collect_list("print").alias("prints")).select("prints")
+        links = links.unionAll(lists.mapInArrow(_links, "a long, b long"))
+        found = links if found is None else found.unionAll(links)
+        crowded = blocks.where(F.col("size") > block_rows)
+        if last or crowded.isEmpty():
+            return found
+        prints = stored(_members(prints, pieces, crowded).select("print").distinct(), "crowded")
 
 
 def near_duplicate_groups(prints: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -166,10 +189,9 @@ def near_duplicate_groups(prints: DataFrame, block_rows: int = BLOCK_ROWS) -> Da
 
 def document_prints(documents: DataFrame) -> DataFrame:
     """doc_id, text key and fingerprint of every row, stored: both passes below read it."""
-    return stored(
-        documents.select("doc_id", *text_key(), fingerprint_column("text").alias("print")),
-        "document-prints",
-    )
+    keyed = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *text_key())
+    kinds = "doc_id long, key_a long, key_b long, print long"
+    return stored(keyed.mapInArrow(_fingerprints, kinds), "document-prints")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
