@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clienttrail.llm.common import smallest_of_each, stored, text_key, words_of
+from clienttrail.llm.common import smallest_of_each, stored, text_key, values_of, words_of
 
 #: Features must occur in at least so many rows of the training sample and tell grades apart by so many
 #: standard errors of their log odds; each is known by 63 bits of its hash.
@@ -115,7 +115,7 @@ def minimize(gradient, parameters: list[np.ndarray], steps: int, rate: float) ->
 def _features(beginnings: tuple[int, ...]):
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [word_features(t, beginnings) for t in batch.column("text").to_pylist()]
+            rows = [word_features(t, beginnings) for t in values_of(batch.column("text"))]
             index = pa.array([i for i, _ in rows], pa.list_(pa.int64()))
             value = pa.array([v for _, v in rows], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays(
