@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from clienttrail.llm.common import read_table
+from clienttrail.llm.common import read_table, values_of
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -336,7 +336,7 @@ def _heading(body: _Node, found: list[_Node]) -> list[_Node]:
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [main_text(h) for h in batch.column("html").to_pylist()]
+        texts = [main_text(h) for h in values_of(batch.column("html"))]
         sizes = pa.array([len(t) for t in texts], pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), sizes],

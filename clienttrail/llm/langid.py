@@ -15,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clienttrail.llm.common import read_table, smallest_of_each, text_key, whole_row
+from clienttrail.llm.common import few_rows, read_table, smallest_of_each, text_key, values_of
 
 LONGEST = 4
 PLACES_LOG2 = 18
@@ -65,10 +66,9 @@ class StringKernelModel:
         self.languages, self.weights = languages, weights
 
     @classmethod
-    def fit(cls, texts: list[str], languages: list[str], landmarks: int = LANDMARKS) -> StringKernelModel:
-        """Rows of each language in the order given; its first rows are its landmarks."""
+    def fit(cls, grams: list[np.ndarray], languages: list[str], landmarks: int = LANDMARKS) -> StringKernelModel:
+        """gram_places() of the rows of each language in the order given; its first rows are its landmarks."""
         names = sorted(set(languages))
-        grams = [gram_places(t) for t in texts]
         landmarks = max(1, min(landmarks, ALL_LANDMARKS // len(names)))
         chosen: list[int] = []
         for name in names:
@@ -112,10 +112,21 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS
 
 
-def training_rows(documents: DataFrame, per_language: int = TRAIN_ROWS) -> pd.DataFrame:
-    """At most per_language rows of each of at most LANGUAGES languages, chosen by hash, on the driver.
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for number, text in enumerate(values_of(batch.column("text"))):
+            if has_letter(text):
+                places = pa.array([gram_places(text).astype(np.int32)], pa.list_(pa.int32()))
+                some = batch.slice(number, 1)
+                arrays = [some.column(c) for c in ("lang", "hash", "doc_id", "key_a")]
+                yield pa.RecordBatch.from_arrays([*arrays, places], ["lang", "hash", "doc_id", "key_a", "places"])
+
+
+def training_rows(documents: DataFrame, per_language: int = TRAIN_ROWS) -> tuple[list[str], list[np.ndarray]]:
+    """Languages and n-gram places of at most per_language rows of each of at most LANGUAGES languages.
 
-    Only ids and hashes are ranked; texts are read for the chosen rows alone.
+    Rows are chosen by hash, from ids and hashes alone, and texts are read for those rows only. The driver gets
+    their distinct places, 2^18 at most for each row, and no text.
     """
     labelled = documents.where(
         "text is not null and lang is not null and doc_id is not null"
@@ -127,54 +138,69 @@ def training_rows(documents: DataFrame, per_language: int = TRAIN_ROWS) -> pd.Da
     keyed = labelled.select("lang", "doc_id", *text_key()).withColumn(
         "hash", F.xxhash64("doc_id", "key_a")
     )
-    few = smallest_of_each(keyed, "lang", per_language, "doc_id", "key_a", "key_b")
-    few = few.drop("hash").distinct()
+    few = smallest_of_each(keyed, "lang", per_language, "doc_id", "key_a", "key_b").distinct()
     # At most per_language * LANGUAGES rows of a few bytes each.
     found = (
         labelled.select("lang", "doc_id", "text", *text_key())
         .join(F.broadcast(few), ["lang", "doc_id", "key_a", "key_b"])
-        .groupBy("lang", "doc_id", "key_a", "key_b")
-        .agg(F.first("text").alias("text"))
-        .orderBy("lang", F.xxhash64("doc_id", "key_a"), "doc_id", "key_a")
-        .select("lang", "text")
+        .mapInArrow(_places, "lang string, hash long, doc_id long, key_a long, places array<int>")
+        .dropDuplicates(["lang", "doc_id", "key_a"])
+        .orderBy("lang", "hash", "doc_id", "key_a")
+        .select("lang", "places")
+        .toArrow()
     )
-    return found.toPandas()
+    places = found.column("places")
+    return found.column("lang").to_pylist(), [places[i].values.to_numpy() for i in range(len(places))]
 
 
 def fit_languages(documents: DataFrame) -> StringKernelModel:
     """Learn from text and lang of the rows that are not held out; without such rows every text is und."""
-    rows = training_rows(documents)
-    rows = rows[[has_letter(t) for t in rows["text"]]]
-    if rows.empty:
+    languages, places = training_rows(documents)
+    if not languages:
         return StringKernelModel([], np.zeros((1 << PLACES_LOG2, 0), np.float32))
-    return StringKernelModel.fit(rows["text"].tolist(), rows["lang"].tolist())
+    return StringKernelModel.fit(places, languages)
 
 
-def predict_language(documents: DataFrame, model: StringKernelModel, text: Column) -> Column:
-    """A struct (lang_pred, score) for each text. The model, places x languages floats, is broadcast."""
+def predicted(documents: DataFrame, model: StringKernelModel) -> DataFrame:
+    """doc_id, lang_pred and score of every row. The model, places x languages floats, is broadcast."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf(_SCORED)
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            yield shared.value.predict(texts.tolist())
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in few_rows(batch):
+                found = shared.value.predict(list(values_of(some.column("text"))))
+                arrays = [some.column("doc_id"), pa.array(found["lang_pred"]), pa.array(found["score"])]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang_pred", "score"])
+
+    return documents.select("doc_id", "text").mapInArrow(predict, f"doc_id {_id_type(documents)}, {_SCORED}")
+
 
-    return predict(text)
+def _id_type(documents: DataFrame) -> str:
+    return documents.schema["doc_id"].dataType.simpleString()
 
 
 def keep_known_languages(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts without a letter, and texts no language's regression claims, go."""
-    model = fit_languages(documents)
-    found = predict_language(documents, model, F.col("text"))
-    judged = documents.select(whole_row(documents), found.alias("found"))
-    known = (F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= MIN_SCORE)
-    return judged.where(known).select("row.*")
+    """Pipeline stage: null texts, texts without a letter, and texts no language's regression claims, go.
+
+    Rows pass through whole, whatever their other columns, and repeated rows stay.
+    """
+    shared = spark.sparkContext.broadcast(fit_languages(documents))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in few_rows(batch):
+                found = shared.value.predict(list(values_of(some.column("text"))))
+                known = (found["lang_pred"] != UNKNOWN) & (found["score"] >= MIN_SCORE)
+                yield some.filter(pa.array(known.to_numpy()))
+
+    return documents.mapInArrow(keep, documents.schema)
 
 
 def op9_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's language; a null text, or one without a letter, is `und` with score 0. Texts are read whole, of
+    any length; equal best values go to the language first in order; repeated rows are each judged; without rows
+    to learn from every text is `und`. A null doc_id is not held out and not learnt from."""
     documents = read_table(spark, sf_dir, "documents")
-    model = fit_languages(documents)
-    found = predict_language(documents, model, F.col("text"))
+    found = predicted(documents, fit_languages(documents))
     held = F.coalesce(fold() == HELD_OUT, F.lit(False))
-    judged = documents.select("doc_id", held.alias("held_out"), found.alias("found"))
-    return judged.select("doc_id", "held_out", "found.lang_pred", "found.score")
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clienttrail.llm.common import read_table, stored
+from clienttrail.llm.common import read_table, stored, values_of
 from clienttrail.llm.tokens import END_ID, default_tokenizer, word_tokenizer
 
 WINDOW = 4096
@@ -103,7 +103,7 @@ def _cut(path: str, end_id: int, window: int):
         for batch in batches:
             ids_of = batch.column("doc_id").to_pylist()
             rows = []
-            for at, text in enumerate(batch.column("text").to_pylist()):
+            for at, text in enumerate(values_of(batch.column("text"))):
                 data = tokenizer.ids(text)
                 total = len(data) // 4
                 for start in range(0, total, window):

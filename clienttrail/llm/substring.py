@@ -10,7 +10,7 @@ them through it. Work and storage grow with the corpus, whatever the number of s
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from clienttrail.llm.common import read_table, stored, text_key, whole_row, words_of
+from clienttrail.llm.common import read_table, stored, text_key, values_of, whole_row, words_of
 from clienttrail.llm.fm_index import FmIndex
 
 WINDOW = 35
@@ -108,7 +108,7 @@ def segments_of(hashes: np.ndarray, owner: np.ndarray, window: int, anchor_words
     return start, count, grams[place[start]], content
 
 
-def _stretches(texts: list[str | None]) -> Iterator[tuple[int, int, list[bytes]]]:
+def _stretches(texts: Iterable[str | None]) -> Iterator[tuple[int, int, list[bytes]]]:
     """(text, first word, words) in stretches that overlap by all but one word of a window."""
     for number, text in enumerate(texts):
         words = words_of(text)
@@ -117,7 +117,7 @@ def _stretches(texts: list[str | None]) -> Iterator[tuple[int, int, list[bytes]]
                 yield number, start, words[start : start + STRETCH + WINDOW - 1]
 
 
-def _runs(texts: list[str | None]) -> Iterator[list[tuple[int, int, list[bytes]]]]:
+def _runs(texts: Iterable[str | None]) -> Iterator[list[tuple[int, int, list[bytes]]]]:
     run, size = [], 0
     for part in _stretches(texts):
         run.append(part)
@@ -132,7 +132,7 @@ def _runs(texts: list[str | None]) -> Iterator[list[tuple[int, int, list[bytes]]
 def _find_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, keys = batch.column("doc_id"), batch.column("key_a")
-        for run in _runs(batch.column("text").to_pylist()):
+        for run in _runs(values_of(batch.column("text"))):
             hashes = word_hashes([w for _, _, words in run for w in words])
             sizes = np.array([len(words) for _, _, words in run])
             owner = np.repeat(np.arange(len(run)), sizes)
@@ -157,8 +157,7 @@ def _segment_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """The word hashes of the segments asked for in each text."""
     names = [c.split()[0] for c in _WORDS.split(", ")]
     for batch in batches:
-        texts, wanted = batch.column("text").to_pylist(), batch.column("wanted").to_pylist()
-        for text, segments in zip(texts, wanted):
+        for text, segments in zip(values_of(batch.column("text")), values_of(batch.column("wanted"))):
             hashes = word_hashes(words_of(text))
             rows = [
                 (
@@ -313,7 +312,7 @@ def kept_words(text: str | None, removals: list | None) -> tuple[int, list[bytes
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        texts, removals = batch.column("text").to_pylist(), batch.column("removals").to_pylist()
+        texts, removals = values_of(batch.column("text")), values_of(batch.column("removals"))
         for doc_id, text, removal in zip(batch.column("doc_id").to_pylist(), texts, removals):
             count, kept = kept_words(text, removal)
             digest = hashlib.sha256(b" ".join(kept)).hexdigest()

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clienttrail.llm.common import read_table, shared_dir
+from clienttrail.llm.common import read_table, shared_dir, values_of
 from clienttrail.llm.packing import WINDOW, best_fit_decreasing
 from clienttrail.llm.tokens import END_ID, default_tokenizer, word_tokenizer
 
@@ -76,7 +76,7 @@ def _pack(path: str, end_id: int, window: int, shard_tokens: int, id_type: str):
         segments: list[tuple[int | None, int, np.ndarray]] = []
         held = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), values_of(batch.column("text"))):
                 ids = np.frombuffer(tokenizer.ids(text), "<u4")
                 if ids.max() > np.iinfo(id_type).max:
                     raise ValueError(f"token ids do not fit {id_type}")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clienttrail.llm.common import read_table
+from clienttrail.llm.common import read_table, values_of
 from clienttrail.llm.text_features import (
     Rows,
     SparseRows,
@@ -114,7 +114,7 @@ def _judge(shared):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            rows = [word_features(t) for t in batch.column("text").to_pylist()]
+            rows = [word_features(t) for t in values_of(batch.column("text"))]
             above = model.at_least(rows) if model else np.zeros((len(rows), GRADES - 1))
             wordless = np.array([len(i) == 0 for i, _ in rows], bool)
             above[wordless] = 0

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import zlib
 
 import numpy as np
@@ -37,7 +39,7 @@ def test_accuracy_on_held_out_rows(spark):
 
 def test_kernel_and_product_of_matrices():
     texts = [GERMAN, ENGLISH, GERMAN[:30], ENGLISH[20:]]
-    model = langid.StringKernelModel.fit(texts, ["de", "en", "de", "en"], landmarks=2)
+    model = langid.StringKernelModel.fit([langid.gram_places(t) for t in texts], ["de", "en", "de", "en"], landmarks=2)
     grams = [set(langid.gram_places(t).tolist()) for t in texts]
     for text in ("die katze", "a cat", "x"):
         own = set(langid.gram_places(text).tolist())
@@ -93,7 +95,30 @@ def test_stage_rejects_languages_not_learned(spark):
 
 
 def test_rows_learnt_from_are_bounded(spark, frame):
-    rows = langid.training_rows(frame(made(200)), per_language=10)
-    assert rows.groupby("lang").size().to_dict() == {"de": 10, "en": 10}
-    again = langid.training_rows(frame(made(200) + made(200)), per_language=10)
-    assert again.groupby("lang").size().max() <= 10
+    languages, places = langid.training_rows(frame(made(200)), per_language=10)
+    assert Counter(languages) == {"de": 10, "en": 10} and len(places) == 20
+    again, _ = langid.training_rows(frame(made(200) + made(200)), per_language=10)
+    assert max(Counter(again).values()) <= 10
+
+
+def test_weights_solve_the_whole_kernel_system():
+    """Scores equal the kernel with the landmarks times coefficients of the ridge system, set by set."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list(kind), 60)) for kind in ("abcde ", "cdefg ", "xyzab ") for _ in range(6)]
+    own = [k for k in ("a", "b", "c") for _ in range(6)]
+    model = langid.StringKernelModel.fit([langid.gram_places(t) for t in texts], own, landmarks=4)
+    sets = [set(langid.gram_places(t).tolist()) for t in texts]
+
+    def kernel(one, two):
+        return len(one & two) / np.sqrt(len(one) * len(two))
+
+    marks = [i for i in range(18) if i % 6 < 4]
+    cross = np.array([[kernel(sets[i], sets[j]) for j in range(18)] for i in marks])
+    wanted = np.where(np.array(own)[:, None] == np.array(["a", "b", "c"]), 1.0, -1.0)
+    among = cross[:, marks] + 1e-6 * np.eye(len(marks))
+    left = sum(np.outer(cross[:, j], cross[:, j]) / 6 for j in range(18)) + 3 * langid.RIDGE * among
+    alpha = np.linalg.solve(left, sum(np.outer(cross[:, j], wanted[j]) / 6 for j in range(18)))
+    for text in ("abba cde", "gfe dcc", "xyz"):
+        other = set(langid.gram_places(text).tolist())
+        direct = np.array([kernel(sets[i], other) for i in marks]) @ alpha
+        assert model.scores([text])[0] == pytest.approx(direct, abs=2e-3)
