@@ -3,8 +3,9 @@
 For each element the density is its characters per tag, adjusted by the share of link characters and
 link tags in it against the whole body. The subtree with the greatest sum of its children's densities
 is the content; the least density on the path from it to the body is the threshold above which other
-subtrees count as content too. Elements that are no article text by their meaning (menus, footers,
-adverts, forms and so on, by tag, role, class or id) are taken out before densities are computed.
+subtrees count as content too. Elements that are no article text by their tag (menus, footers, scripts and
+so on) are taken out before densities are computed. A word in a class or id, or a role, is evidence only: it
+counts where the element's own density, its links or the text beside it agree (see _judge_marks).
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ _CLOSED_BY = {
 
 #: Elements that hold no article text, wherever they stand.
 _DROPPED_TAGS = _RAW | frozenset(
-    "head nav footer aside form button select option datalist object embed canvas audio video applet "
+    "head nav footer aside button select option datalist object embed canvas audio video applet "
     "dialog menu input label".split()
 )
 _DROPPED_ROLES = frozenset(
@@ -66,38 +67,63 @@ _DROPPED_WORDS = frozenset(
     "promoted promotion recommended related replies respond responses share sharing sidebar signin "
     "signup social sponsor sponsored sponsors subscribe subscription toolbar topbar widget".split()
 )
+_COMMENT_WORDS = frozenset("comment comments disqus".split())
+#: Words that say where or how large an element is, not what it holds: ad-box is as clear as ad.
+_PLACE_WORDS = frozenset(
+    "area article articles bar block blocks body bottom box btn button card cards center col column container "
+    "content desktop entry fixed float form global group head header holder horizontal inline inner item items js "
+    "large layout left link links list lower main mobile module outer overlay page panel placeholder popular post "
+    "posts primary reader readers right row secondary section side site slot small sticky sub text title top unit "
+    "upper user users vertical view wrap wrapper zone".split()
+)
+#: A marked element with text of its own has this many paragraphs, and less than this share of it in links.
+_MIN_PARAGRAPHS, _MAX_LINKS = 2, 0.25
+#: Text that is left of a page, in characters, below which even a comment section may be its content.
+_LITTLE = 140
+#: What is known of an element by its names: nothing; a hint; a clear name; a clear name of reader comments; hidden.
+_NONE, _HINT, _CLEAR, _COMMENTS, _HIDDEN = range(5)
+
 
 class _Node:
-    __slots__ = ("tag", "parent", "parts", "dropped", "chars", "tags", "link_chars", "link_tags")
+    __slots__ = ("tag", "parent", "parts", "mark", "dropped", "chars", "tags", "link_chars", "link_tags", "paragraphs")
 
     def __init__(self, tag: str, parent: _Node | None):
         self.tag, self.parent = tag, parent
         self.parts: list[_Node | str] = []
-        self.dropped = False
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.mark, self.dropped = _NONE, False
+        self.chars = self.tags = self.link_chars = self.link_tags = self.paragraphs = 0
 
     def children(self) -> list[_Node]:
         return [p for p in self.parts if type(p) is _Node and not p.dropped]
 
 
-def _is_dropped(tag: str, attributes: str) -> bool:
+def _mark(tag: str, attributes: str) -> int:
+    """What an element's tag, role, class, id and style say against its being article text."""
     if tag in _DROPPED_TAGS:
-        return True
+        return _HIDDEN
+    mark = _CLEAR if tag == "form" else _NONE
     if not attributes.strip(" /") or tag in ("html", "body", "main"):
-        return False
+        return mark
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next(filter(None, values), "")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return _HIDDEN
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return _HIDDEN
         if name == "role" and value.lower().strip() in _DROPPED_ROLES:
-            return True
+            mark = max(mark, _CLEAR)
         if name in ("class", "id"):
-            words = {w.lower() for w in _NAME_PARTS.findall(value)}
-            if words & _DROPPED_WORDS and not (tag == "article" and not words & {"comment", "comments"}):
-                return True
-    return False
+            mark = max([mark, *(_named(tag, token) for token in value.split())])
+    return mark
+
+
+def _named(tag: str, token: str) -> int:
+    words = {w.lower() for w in _NAME_PARTS.findall(token)}
+    if words & _COMMENT_WORDS:
+        return _COMMENTS
+    if tag == "article" or not words & _DROPPED_WORDS:
+        return _NONE
+    return _HINT if words - _DROPPED_WORDS - _PLACE_WORDS else _CLEAR
 
 
 def parse(page: str) -> _Node:
@@ -126,7 +152,8 @@ def parse(page: str) -> _Node:
             node = body  # a second body tag opens nothing
             continue
         child = _Node(tag, node)
-        child.dropped = _is_dropped(tag, attributes)
+        child.mark = _mark(tag, attributes)
+        child.dropped = child.mark == _HIDDEN
         node.parts.append(child)
         if tag not in _VOID and not raw:
             node = child
@@ -190,6 +217,7 @@ def _count(nodes: list[_Node]) -> None:
         children = node.children()
         node.chars = own + sum(c.chars for c in children)
         node.tags = sum(c.tags + 1 for c in children)
+        node.paragraphs = (node.tag == "p") + sum(c.paragraphs for c in children)
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.tags + 1
         else:
@@ -209,8 +237,8 @@ def density(node: _Node, body: _Node) -> float:
     return chars / tags * math.log(max(value, 1.0)) / max(math.log(base), 1e-9) if base > 1 else chars / tags
 
 
-def _content(body: _Node) -> list[_Node]:
-    """The subtrees that hold the content, in page order, none within another."""
+def _content(body: _Node) -> tuple[list[_Node], float]:
+    """The subtrees that hold the content, in page order, none within another; and the path's threshold."""
     nodes = _in_order(body)
     _count(nodes)
     densities = {id(n): density(n, body) for n in nodes}
@@ -236,22 +264,39 @@ def _content(body: _Node) -> list[_Node]:
         elif id(node) in marked:
             found.append(node)
             inside.add(id(node))
-    return found
+    return found, threshold
+
 
+def _article(found: list[_Node], threshold: float, body: _Node) -> list[_Node]:
+    """Content within article elements is these whole articles; a main element is narrowed to its articles.
 
-def _article(found: list[_Node], body: _Node) -> list[_Node]:
-    """Content within an article element is that whole article; a body is narrowed to its main article."""
-    articles = [n for n in _in_order(body) if n.tag in ("article", "main")]
-    outer = [n for n in articles if not any(u in articles for u in _up(n.parent))]
+    Beside the largest article others count if they hold found content or are as dense as the path to it, and are
+    no link cards. What was found outside is kept where the articles hold less than half of it.
+    """
+    order = _in_order(body)
+    articles = [n for n in order if n.tag in ("article", "main")]
+    known = {id(n) for n in articles}
+    outer = [n for n in articles if not any(id(u) in known for u in _up(n.parent))]
     if not outer:
         return found
+    holders = {id(u) for n in found for u in _up(n)}
+
+    def counts(node: _Node) -> bool:
+        dense = id(node) in holders or density(node, body) >= threshold
+        return dense and node.chars > 0 and node.link_chars < _MAX_LINKS * node.chars
+
     main = max(outer, key=lambda n: n.chars)
-    if main.chars * 2 < sum(n.chars for n in found):
+    chosen = [n for n in outer if n is main or counts(n)]
+    if 2 * sum(n.chars for n in chosen) < sum(n.chars for n in found):
         return found
-    inner = [n for n in articles if n.tag == "article" and n is not main and main in _up(n)]
-    if len(inner) == 1 and inner[0].chars * 2 >= main.chars:
-        return inner
-    return [main]
+    out = []
+    for node in chosen:
+        # The articles of a main element, or of an article that is a list of them, without those inside others.
+        parts = [n for n in _in_order(node) if n.tag == "article" and n is not node and counts(n)]
+        inner = {id(n) for n in parts}
+        parts = [n for n in parts if not any(id(u) in inner for u in _up(n.parent))]
+        out += parts if parts and 2 * sum(n.chars for n in parts) >= node.chars else [node]
+    return out
 
 
 def _blocks(node: _Node, out: list[str]) -> None:
@@ -289,37 +334,49 @@ def main_text(page: str | None) -> str:
         return ""
     root = parse(page)
     body = next((n for n in _in_order(root) if n.tag == "body"), root)
-    _relent(body)
-    found = _article(_content(body), body)
+    _judge_marks(body)
+    found = _article(*_content(body), body)
     out: list[str] = []
     for node in [*_heading(body, found), *found]:
         _blocks(node, out)
     return "\n".join(out)
 
 
-def _relent(body: _Node) -> None:
-    """Take back marks by class, id or role on elements with most of a page's text and paragraphs.
+def _judge_marks(body: _Node) -> None:
+    """Drop the elements whose names speak against them and whose text does not speak for them.
 
-    A page with an article element that is not marked needs none of this.
+    A hint in a name counts unless the element has paragraphs, few links and at least the body's density. A clear
+    name counts unless the element holds more than half of the page's text, in paragraphs, and little is left
+    without it: a quarter of its text, or for reader comments next to nothing.
     """
-    if any(n.tag in ("article", "main") for n in _in_order(body)):
+    nodes = _in_order(body)
+    marked = [n for n in nodes if n.mark]
+    if not marked:
         return
-    for node in [n for n in _everything(body) if n.dropped and n.tag not in _DROPPED_TAGS]:
-        inside = _everything(node)
-        if sum(n.tag == "p" for n in inside) > 1 and 2 * _text_size(inside) > _text_size(_everything(body)):
+    _count(nodes)
+    usual = density(body, body)
+    for node in marked:
+        texty = node.paragraphs >= _MIN_PARAGRAPHS and node.link_chars < _MAX_LINKS * node.chars
+        node.dropped = not (node.mark == _HINT and texty and density(node, body) >= usual)
+    left = _plain_chars(body)
+    for node in marked:
+        if not node.dropped or node.paragraphs < _MIN_PARAGRAPHS or 2 * node.chars <= body.chars:
+            continue
+        enough = _LITTLE if node.mark == _COMMENTS else (node.chars - node.link_chars) / 4
+        if left < enough and not any(u.dropped for u in _up(node.parent)):
             node.dropped = False
+            left += _plain_chars(node)
 
 
-def _everything(node: _Node) -> list[_Node]:
-    """A subtree with what was dropped in it, but for what is never text."""
-    out = [node]
-    for at in out:
-        out += [p for p in at.parts if type(p) is _Node and p.tag not in _DROPPED_TAGS]
-    return out
-
-
-def _text_size(nodes: list[_Node]) -> int:
-    return sum(len(p) for n in nodes for p in n.parts if type(p) is str)
+def _plain_chars(top: _Node) -> int:
+    """Characters outside links of a subtree, without what is dropped in it."""
+    total, stack = 0, [top]
+    while stack:
+        node = stack.pop()
+        if node.tag != "a":
+            total += sum(len(_SPACE.sub(" ", p).strip()) for p in node.parts if type(p) is str)
+            stack += node.children()
+    return total
 
 
 def _heading(body: _Node, found: list[_Node]) -> list[_Node]:
@@ -345,7 +402,12 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
-    """Per row: page_id, url, text (empty if there is none or html is null), n_chars."""
+    """Per row: page_id, url, text (empty if there is none or html is null), n_chars.
+
+    Rows are judged one by one: repeated rows give equal results, nulls in page_id and url stay, an empty table gives
+    none, columns beside the three are not read. Of subtrees with equal sums the outermost is taken. Long and deep
+    pages are read whole, in one pass over their elements for each step.
+    """
     return pages.select("page_id", "url", "html").mapInArrow(
         _extract, "page_id long, url string, text string, n_chars long"
     )

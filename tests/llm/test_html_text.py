@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import html
+import math
 import re
 
 import pytest
@@ -92,3 +93,115 @@ def test_odd_rows(spark):
     wanted = [(1, None, "", 0), (None, "u", "a", 1), (2, "u", "a", 1), (2, "u", "a", 1)]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, wanted))
     assert html_text.extract_pages(spark.createDataFrame([], kinds)).count() == 0
+
+
+PARAGRAPHS = "".join(f"<p>Paragraph {i}. {LONG}</p>" for i in range(8))
+WHOLE = "\n".join(f"Paragraph {i}. {LONG.strip()}" for i in range(8))
+
+
+def paragraphs(name, count):
+    return "".join(f"<p>{name} {i}. {LONG}</p>" for i in range(count))
+
+
+def lines(name, count):
+    return [f"{name} {i}. {LONG.strip()}" for i in range(count)]
+
+
+@pytest.mark.parametrize("around", ["<body>{}", "<body><main>{}</main>"])
+def test_sibling_articles_are_kept(around):
+    two = f"<article>{paragraphs('One', 8)}</article><article>{paragraphs('Two', 7)}</article>"
+    card = f'<article><h3><a href="/x">A headline of another story to read</a></h3><p>Short words.</p></article>'
+    page = around.format(two + card * 4)
+    assert main_text(NAV + page) == "\n".join(lines("One", 8) + lines("Two", 7))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<main><div class="elementor-widget">{}</div></main>',
+        '<main><div class="widget">{}</div></main>',
+        '<article><div class="social-story">{}</div></article>',
+        '<body><form id="aspnetForm"><div>{}</div></form></body>',
+        '<body><div role="dialog"><div class="promo">{}</div></div></body>',
+    ],
+)
+def test_a_name_alone_drops_no_article(page):
+    assert main_text(NAV + page.format(PARAGRAPHS)) == WHOLE
+
+
+def test_a_named_part_of_the_story_stays():
+    part = f'<section class="responses-of-the-state">{paragraphs("State", 4)}</section>'
+    page = f"<body>{NAV}<div><div>{paragraphs('Story', 5)}</div>{part}</div></body>"
+    assert main_text(page) == "\n".join(lines("Story", 5) + lines("State", 4))
+
+
+@pytest.mark.parametrize("names", ['id="comments"', 'class="story-comments"', 'class="readerComments list"'])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_comments_go_however_long(names, tag):
+    comments = f"<section {names}>{paragraphs('Reader', 30)}</section>"
+    page = f"<body>{NAV}<{tag}>{paragraphs('Story', 4)}</{tag}>{comments}</body>"
+    assert main_text(page) == "\n".join(lines("Story", 4))
+
+
+def test_hidden_text_is_never_taken_back():
+    page = f"<body><div hidden>{PARAGRAPHS}</div><p>Seen.</p></body>"
+    assert main_text(page) == "Seen."
+
+
+def literal_sums(tree):
+    """Composite density and its sums by the published formula, from trees (tag, text, children)."""
+
+    def measure(node):
+        tag, text, children = node
+        parts = [measure(c) for c in children]
+        chars = len(text) + sum(m["C"] for m in parts)
+        tags = sum(m["T"] + 1 for m in parts)
+        links = chars if tag == "a" else sum(m["LC"] for m in parts)
+        link_tags = tags + 1 if tag == "a" else sum(m["LT"] for m in parts)
+        return {"C": chars, "T": tags, "LC": links, "LT": link_tags, "parts": parts}
+
+    body = measure(tree)
+
+    def density(m):
+        if m["C"] == 0:
+            return 0.0
+        per_tag = m["C"] / max(1, m["T"])
+        ratio = (m["C"] / max(1, m["LC"])) * (max(1, m["T"]) / max(1, m["LT"]))
+        other = max(1, m["C"] - m["LC"])
+        base = math.log(m["C"] / other * m["LC"] + body["LC"] / max(1, body["C"]) * m["C"] + math.e)
+        return per_tag * math.log(max(ratio, 1.0)) / max(math.log(base), 1e-9) if base > 1 else per_tag
+
+    def walk(m):
+        yield density(m), sum(density(c) for c in m["parts"])
+        for c in m["parts"]:
+            yield from walk(c)
+
+    return list(walk(body))
+
+
+trees = st.recursive(
+    st.tuples(st.sampled_from(["div", "a", "b", "p"]), st.text("xyz", max_size=40), st.just([])),
+    lambda inner: st.tuples(st.sampled_from(["div", "b"]), st.text("xyz", max_size=40), st.lists(inner, max_size=4)),
+    max_leaves=12,
+)
+
+
+@settings(max_examples=200, deadline=None)
+@given(trees)
+def test_density_against_the_formula(tree):
+    def build(node, parent):
+        made = html_text._Node(node[0], parent)
+        made.parts = [node[1], *(build(c, made) for c in node[2])]
+        return made
+
+    body = build(("body", tree[1], [tree]), None)
+    nodes = html_text._in_order(body)
+    html_text._count(nodes)
+    got = [html_text.density(n, body) for n in nodes]
+    sums = [sum(html_text.density(c, body) for c in n.children()) for n in nodes]
+    wanted = literal_sums(("body", tree[1], [tree]))
+    assert got == pytest.approx([d for d, _ in wanted]) and sums == pytest.approx([t for _, t in wanted])
+    found, threshold = html_text._content(body)
+    best = max(sums)
+    tops = [n for n, t in zip(nodes, sums) if t == pytest.approx(best)]
+    assert any(f is n for f in found for t in tops for n in html_text._up(t))
