@@ -266,7 +266,8 @@ def repeats(
         ).agg(F.collect_list(segment).alias("wanted"))
         here = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("key_a") == F.col("of_key"))
         first = F.row_number().over(Window.partitionBy("doc_id", "key_a").orderBy("doc_id", "key_a"))
-        texts = keyed.join(wanted, here).withColumn("copy", first).where("copy = 1")
+        # Texts stream past a hash table of the few bytes wanted of each, instead of being sorted.
+        texts = keyed.join(wanted.hint("shuffle_hash"), here).withColumn("copy", first).where("copy = 1")
         return texts.select("text", "wanted").mapInArrow(_segment_words, _WORDS)
 
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
@@ -288,11 +289,15 @@ def repeats(
 
 
 def with_removals(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """All rows of documents, each as a struct row, with the removals of its text (null if none)."""
+    """All rows of documents, each as a struct row, with the removals of its text (null if none).
+
+    Removals are one row a text, a few bytes for each repeated segment, and make a hash table in each partition that
+    texts stream past: whole rows are shuffled, but not sorted.
+    """
     found = found.select(F.col("doc_id").alias("of_doc"), F.col("key_a").alias("of_key"), "removals")
     keyed = documents.select(whole_row(documents), "doc_id", text_key()[0])
     here = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("key_a") == F.col("of_key"))
-    return keyed.join(found, here, "left").select("row", "removals")
+    return keyed.join(found.hint("shuffle_hash"), here, "left").select("row", "removals")
 
 
 def kept_words(text: str | None, removals: list | None) -> tuple[int, list[bytes]]:
