@@ -288,13 +288,22 @@ def event_numbers(events: DataFrame) -> DataFrame:
 
     Events shrink by type and client, for the exact client count, before they shuffle.
     """
-    by_client = events.groupBy("event_type", "client_id").agg(
+    return numbers_of_types(events.groupBy("event_type", "client_id").agg(*client_numbers()))
+
+
+def client_numbers() -> list[Column]:
+    """What is kept of a client's events of one type; all of it can be merged."""
+    return [
         F.count(F.lit(1)).alias("n"),
         F.min("event_date").alias("first"),
         F.max("event_date").alias("last"),
         F.sum("sales_rep_id").alias("rep_sum"),
         F.count("sales_rep_id").alias("rep_n"),
-    )
+    ]
+
+
+def numbers_of_types(by_client: DataFrame) -> DataFrame:
+    """event_numbers() from one row of client_numbers() per event type and client."""
     return by_client.groupBy("event_type").agg(
         F.sum("n").alias("event_count"),
         F.count("client_id").alias("unique_clients"),
@@ -312,13 +321,18 @@ def event_distribution(events: DataFrame) -> DataFrame:
     Two aggregations that both shrink before they shuffle: the numbers, and one by type, plan and
     region for the lists.
     """
+    return with_value_lists(event_numbers(events), events)
+
+
+def with_value_lists(numbers: DataFrame, values: DataFrame) -> DataFrame:
+    """Add to the numbers of event types the plans and regions that occur with them in values."""
 
     def distinct_list(column: str) -> Column:
         values = F.collect_set(column)
         return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), ","))
 
     lists = (
-        events.select(F.col("event_type").alias("_type"), "plan", "region")
+        values.select(F.col("event_type").alias("_type"), "plan", "region")
         .distinct()
         .groupBy("_type")
         .agg(
@@ -327,8 +341,7 @@ def event_distribution(events: DataFrame) -> DataFrame:
         )
     )
     return (
-        event_numbers(events)
-        .join(lists, F.col("event_type").eqNullSafe(F.col("_type")))
+        numbers.join(lists, F.col("event_type").eqNullSafe(F.col("_type")))
         .drop("_type")
         .orderBy(F.desc("event_count"), "event_type")
     )

@@ -2,6 +2,8 @@ from clienttrail.plans.jobs import (
     run_churn,
     run_churn_report,
     run_client_layers,
+    run_daily_parts,
+    run_daily_report,
     run_funnel,
     run_funnel_report,
     run_inconsistencies,
@@ -15,6 +17,8 @@ __all__ = [
     "run_churn",
     "run_churn_report",
     "run_client_layers",
+    "run_daily_parts",
+    "run_daily_report",
     "run_funnel",
     "run_funnel_report",
     "run_inconsistencies",

@@ -7,16 +7,18 @@ intermediate results are computed once and a lost executor costs no recomputatio
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from clienttrail.operators import checks, churn, funnel, reports, staging
+from clienttrail.operators import checks, churn, daily, funnel, reports, staging
 from clienttrail.operators.ranking import GROUP, rank_events
 from clienttrail.operators.skew import HOT_ROWS, hot_keys
 from clienttrail.schema import (
     CHURN_SCHEMA,
+    DAILY_NUMBERS_SCHEMA,
+    DAILY_VALUES_SCHEMA,
     DETAILS_SCHEMA,
     DISTRIBUTION_SCHEMA,
     FINDINGS_SCHEMA,
@@ -36,6 +38,9 @@ UNREADABLE = "staging_unreadable_values"
 PARSED = "staging_parsed_records"
 HOT_GROUPS = "staging_hot_groups"
 DATE_ORDER = "staging_date_order"
+DAILY_NUMBERS = "daily_event_numbers"
+DAILY_VALUES = "daily_event_values"
+DURATION_STATS = "stage_duration_stats"
 # Names of the feature tables.
 STAGED = "f_staging_events"
 FUNNEL = "f_funnel_data"
@@ -160,6 +165,61 @@ def run_inconsistencies(
     )
 
 
+def run_daily_parts(
+    spark: SparkSession,
+    staged_path: str,
+    out_dir: str,
+    first_day: date | None = None,
+    last_day: date | None = None,
+    fmt: str = "parquet",
+) -> tuple[str, str]:
+    """Staged events of a range of days (both ends included) -> their daily partial aggregates, by day.
+
+    Days of the range that have events are replaced, all other days stay as they were written. Rows are dealt by
+    day, and adaptive execution splits a day with very many of them.
+    """
+    events = read_staged(spark, staged_path, fmt)
+    if first_day is not None:
+        events = events.where(F.col("event_date") >= F.lit(first_day).cast("timestamp_ntz"))
+    if last_day is not None:
+        end = F.lit(last_day + timedelta(days=1)).cast("timestamp_ntz")
+        events = events.where(F.col("event_date") < end)
+    parts = {DAILY_NUMBERS: daily.daily_numbers(events), DAILY_VALUES: daily.daily_values(events)}
+    numbers, values = (
+        write_table(
+            part.hint("rebalance", "event_day"),
+            f"{out_dir}/{name}",
+            partition_by=["event_day"],
+            only_present=True,
+        )
+        for name, part in parts.items()
+    )
+    return numbers, values
+
+
+def run_daily_report(
+    spark: SparkSession,
+    parts_dir: str,
+    out_dir: str,
+    first_day: date | None = None,
+    last_day: date | None = None,
+    fmt: str = "parquet",
+) -> tuple[str, str]:
+    """Daily partials -> event distribution and stage durations of a range of days, without the events.
+
+    Only the folders of these days are read.
+    """
+    numbers, values = (
+        daily.between_days(read_feature(spark, f"{parts_dir}/{name}", schema), first_day, last_day)
+        for name, schema in ((DAILY_NUMBERS, DAILY_NUMBERS_SCHEMA), (DAILY_VALUES, DAILY_VALUES_SCHEMA))
+    )
+    stats = funnel.stage_duration_stats(funnel.stage_durations(daily.merged_funnel(numbers)))
+    return (
+        write_table(daily.merged_distribution(numbers, values), f"{out_dir}/{DISTRIBUTION}", fmt),
+        write_table(stats, f"{out_dir}/{DURATION_STATS}", fmt),
+    )
+
+
 def run_client_layers(
     spark: SparkSession, tables: ClientTables, out_dir: str, as_of: datetime | str, fmt: str = "parquet"
 ) -> dict[str, str]:

@@ -103,6 +103,25 @@ DISTRIBUTION_SCHEMA = T.StructType(
     ]
 )
 
+#: Daily partial aggregates, partitioned by event_day.
+DAILY_NUMBERS_SCHEMA = T.StructType(
+    [
+        T.StructField("event_day", T.DateType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("client_id", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("first", T.TimestampNTZType()),
+        T.StructField("last", T.TimestampNTZType()),
+        T.StructField("rep_sum", T.LongType()),
+        T.StructField("rep_n", T.LongType()),
+    ]
+)
+
+DAILY_VALUES_SCHEMA = T.StructType(
+    [T.StructField("event_day", T.DateType())]
+    + [T.StructField(name, T.StringType()) for name in ("event_type", "plan", "region")]
+)
+
 FUNNEL_SCHEMA = T.StructType(
     [
         T.StructField("client_id", T.LongType()),

@@ -93,10 +93,12 @@ def write_table(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    only_present: bool = False,
 ) -> str:
     """Write a table and return its path; CSV gets a header and dates as text.
 
     With `partition_by` each value of these columns has a folder of its own, which filters on them prune.
+    `only_present` replaces the folders of values that occur in df and leaves those of other values.
     """
     if fmt == "csv":
         # As text, a time without a fraction has none and any other keeps all its digits.
@@ -105,6 +107,8 @@ def write_table(
         writer = df.write.mode(mode).option("header", True).option("escape", '"')
     else:
         writer = df.write.mode(mode)
+    if only_present:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).format(fmt).save(path)
     return path
 

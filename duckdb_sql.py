@@ -599,6 +599,20 @@ def statements() -> dict[str, str]:
            FROM staged WHERE event_type = 'docs_submitted'""",
     )
     sql["event_distribution"] = _all("distribution")
+    days = """, days AS (
+        SELECT * FROM staged
+        WHERE event_date >= TIMESTAMP '2024-01-15' AND event_date < TIMESTAMP '2024-03-01')"""
+    distribution = _CTES["distribution"].replace("FROM staged", "FROM days")
+    first_dates = _CTES["funnel"].replace("FROM staged WHERE event_rank = 1", "FROM days")
+    sql["daily_distribution"] = _with(["staged"], f"{days} {distribution}")
+    sql["daily_stage_duration_stats"] = _with(
+        ["staged"],
+        f"""{days}, funnel AS ({first_dates}), durations AS ({_CTES["durations"]})
+            SELECT stage, count(*) AS clients, min(days) AS min_days,
+                   quantile_cont(days, 0.25) AS q1_days, quantile_cont(days, 0.5) AS median_days,
+                   quantile_cont(days, 0.75) AS q3_days, max(days) AS max_days
+            FROM durations GROUP BY stage""",
+    )
     sql["inconsistencies"] = _all("findings")
     sql["inconsistency_counts"] = _with(
         ["findings"],

@@ -100,6 +100,7 @@ REGION_READERS = {
     "chk_unknown_values_strict": 1,
     "docs_events": 1,
     "event_distribution": 1,
+    "daily_distribution": 1,
     "inconsistencies": 1,
     "inconsistency_counts": 1,
     "client_event_details": 2,
