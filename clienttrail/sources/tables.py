@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clienttrail.functions import null_if_token
 from clienttrail.schema import NULL_TOKENS, STAGED_SCHEMA, TORN_RECORD
-
+from clienttrail.sources.records import quoted_records
 
 
 def read_raw_csv(
@@ -22,26 +22,32 @@ def read_raw_csv(
     """Read raw CSV with a header, all columns as text; missing-value tokens become null.
 
     Columns go by header name, and files whose headers differ are an error. `multiline` allows line
-    breaks inside quotes, at the price of one task per file. A record with too few or too many fields,
-    as a line break in quotes makes without `multiline`, fails the read; with `keep_torn` it is kept
-    whole in the column TORN_RECORD, which is null otherwise.
+    breaks inside quotes, at the price of another pass over the lines that hold quotes; files are read in
+    splits either way. A record with too few or too many fields, as a line break in quotes makes without
+    `multiline`, fails the read; with `keep_torn` it is kept whole in the column TORN_RECORD, which is null
+    otherwise.
     """
     reader = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
-        .option("multiLine", multiline)
         # Fields are counted in whole records only.
         .option("columnPruning", False)
     )
     names = reader.csv(path).columns
     fields = [T.StructField(n, T.StringType()) for n in names]
+    mode = {"mode": "FAILFAST"}
     if keep_torn:
-        torn = T.StructField(TORN_RECORD, T.StringType())
-        reader = reader.option("columnNameOfCorruptRecord", TORN_RECORD)
-        df = reader.schema(T.StructType([*fields, torn])).csv(path)
+        fields.append(T.StructField(TORN_RECORD, T.StringType()))
+        mode = {"columnNameOfCorruptRecord": TORN_RECORD}
+    schema = T.StructType(fields)
+    if multiline:
+        records = quoted_records(spark, path, names)
+        ddl = ", ".join(f"`{field.name.replace('`', '``')}` string" for field in schema)
+        parsed = F.from_csv("record", ddl, {"escape": '"', **mode})
+        df = records.select(parsed.alias("fields")).select("fields.*")
     else:
-        df = reader.option("mode", "FAILFAST").schema(T.StructType(fields)).csv(path)
+        df = reader.options(**mode).schema(schema).csv(path)
     tokens = tuple(null_tokens)
     if not tokens:
         return df
