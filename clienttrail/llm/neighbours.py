@@ -7,7 +7,8 @@ searches its own cell and then every cell that may still hold a nearer vector: c
 of projected distance and are verified with the original vectors until the next projected distance is so
 large that a vector nearer than the current last neighbour would have it with probability 1 - CERTAINTY
 at most. There is no cap on candidates. Equal vectors are indexed once with their smallest ids, which
-are all that can be among the nearest, and equal queries are searched once.
+are all that can be among the nearest, and equal queries are searched once. Vectors of each length are
+searched among themselves, with a projection and cells of their own.
 """
 
 from __future__ import annotations
@@ -140,23 +141,37 @@ def _usable(vector: str) -> Column:
 
 
 def _placed(points: DataFrame, shared) -> DataFrame:
-    """Add the cell and the projection of each point."""
+    """Add the cell and the projection of each point; shared has the cells of lengths with more than one."""
     names = [*points.columns, "cell", "projected"]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matrix, cells = shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            projected = matrix_of(batch.column("vector")) @ matrix
-            own = pa.array(cells.cells(projected).astype(np.int64))
-            lists = pa.array(list(projected), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, own, lists], names)
+            sizes = batch.column("size").to_numpy()
+            for size in np.unique(sizes).tolist():
+                same = batch.filter(pa.array(sizes == size))
+                projected = matrix_of(same.column("vector")) @ projection(size)
+                trees = shared.value.get(size)
+                own = trees.cells(projected) if trees else np.zeros(same.num_rows)
+                lists = pa.array(list(projected), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*same.columns, pa.array(own.astype(np.int64)), lists], names)
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields)
     return points.mapInArrow(place, f"{kinds}, cell long, projected array<double>")
 
 
+def _cells(distinct: DataFrame, cell_rows: int) -> dict[int, KdCells]:
+    """By length, of lengths with more than cell_rows vectors: cells fitted on a sample of them.
+
+    There are at most as many such lengths as all vectors over cell_rows.
+    """
+    out = {}
+    for size, rows in distinct.groupBy("size").count().where(F.col("count") > cell_rows).orderBy("size").collect():
+        sample = distinct.where(F.col("size") == size).orderBy(F.xxhash64("first_id"), "first_id")
+        points = matrix_of(sample.limit(SAMPLE_ROWS).select("vector").toArrow().column("vector"))
+        out[size] = KdCells(points @ projection(size), math.ceil(math.log2(rows / cell_rows)))
+    return out
+
+
 def _search(count: int, reach: float):
     def search(points: pa.Table, queries: pa.Table) -> pa.Table:
         kinds = [pa.list_(pa.float64()), pa.int64(), pa.float64()]
@@ -181,44 +196,41 @@ def _search(count: int, reach: float):
 
 
 def _searched(points: DataFrame, queries: DataFrame, count: int, reach: float) -> DataFrame:
-    """Search queries (cell, vector, projected, limit) in their cells, in blocks of a bounded size.
+    """Search queries (size, cell, vector, projected, limit) in their cells, in blocks of a bounded size.
 
     A cell that many queries visit is given to several tasks.
     """
-    sizes = queries.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("blocks"))
+    cell = ["size", "cell"]
+    sizes = queries.groupBy(*cell).agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("blocks"))
     block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-    copies = points.join(sizes, "cell").select(*points.columns, block)
-    dealt = queries.join(sizes, "cell").select(
+    copies = points.join(sizes, cell).select(*points.columns, block)
+    dealt = queries.join(sizes, cell).select(
         *queries.columns, F.pmod(F.xxhash64("vector"), F.col("blocks")).cast("int").alias("block")
     )
-    keys = ["cell", "block"]
+    keys = [*cell, "block"]
     pairs = copies.groupBy(*keys).cogroup(dealt.groupBy(*keys))
     return stored(pairs.applyInArrow(_search(count, reach), _FOUND), "found")
 
 
 def _visits(boxes, reach: float):
     """Other cells whose box the stopping test does not rule out for a query."""
-    names = ["cell", "vector", "projected", "limit"]
+    names = ["size", "cell", "vector", "projected", "limit"]
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, low, high = boxes.value
         for batch in batches:
-            vectors, places = batch.column("vector"), matrix_of(batch.column("projected"))
-            own, limits = batch.column("cell").to_numpy(), batch.column("limit").to_numpy()
-            for row, place in enumerate(places):
+            sizes, own = batch.column("size").to_numpy(), batch.column("cell").to_numpy()
+            limits = batch.column("limit").to_numpy()
+            for row, size in enumerate(sizes.tolist()):
+                if size not in boxes.value:
+                    continue
+                cells, low, high = boxes.value[size]
+                place = batch.column("projected")[row].values.to_numpy()
                 gap = np.maximum(0, np.maximum(low - place, place - high))
                 near = (gap**2).sum(axis=1) <= limits[row] ** 2 * reach
                 open_ = cells[near & (cells != own[row])]
                 at = pa.array(np.full(len(open_), row))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(open_),
-                        vectors.take(at),
-                        batch.column("projected").take(at),
-                        batch.column("limit").take(at),
-                    ],
-                    names,
-                )
+                kept = [batch.column(c).take(at) for c in ("vector", "projected", "limit")]
+                yield pa.RecordBatch.from_arrays([batch.column("size").take(at), pa.array(open_), *kept], names)
 
     return visits
 
@@ -233,9 +245,10 @@ def nearest_neighbours(
     """Rows (query_id, rank, vec_id, score): the nearest found of each row for which queries holds.
 
     vectors has vec_id and embedding. Null and zero vectors, vectors with null, infinite or undefined
-    components, rows without vec_id, and vectors of another length than the first in order of
-    vec_id take no part. A query is no neighbour of its own id. Ties go to the smaller vec_id. All
-    candidates come if there are fewer than count.
+    components, and rows without vec_id take no part. A query's candidates are the vectors as long as it is:
+    the distance to others is undefined. A query is no neighbour of its own id. Ties go to the smaller vec_id.
+    Repeated rows count once; rows of one vec_id with different vectors are searched each. All candidates come
+    if there are fewer than count; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     reach = chi_square_quantile(certainty, PROJECTED)
@@ -243,10 +256,6 @@ def nearest_neighbours(
         "vec_id", F.col("embedding").cast("array<double>").alias("vector"), queries.alias("is_query")
     ).where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull())
     usable = usable.where(_usable("vector"))
-    first = usable.agg(F.min_by(F.size("vector"), "vec_id")).first()[0]
-    if first is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    usable = usable.where(F.size("vector") == first)
     # Equal vectors once, with one id more than can be wanted: a query may have to pass over its own.
     order = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     distinct = (
@@ -257,25 +266,24 @@ def nearest_neighbours(
         .groupBy("vector")
         .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min("vec_id").alias("first_id"))
     )
-    distinct = stored(distinct, "vectors")
-    rows = distinct.count()
-    matrix = projection(first)
-    sample = distinct.orderBy(F.xxhash64("first_id"), "first_id").limit(SAMPLE_ROWS).select("vector")
-    points = matrix_of(sample.toArrow().column("vector")) @ matrix
-    levels = max(0, math.ceil(math.log2(max(1, rows / cell_rows))))
-    shared = spark.sparkContext.broadcast((matrix, KdCells(points, levels)))
+    distinct = stored(distinct.withColumn("size", F.size("vector")), "vectors")
+    shared = spark.sparkContext.broadcast(_cells(distinct, cell_rows))
     points = stored(_placed(distinct, shared), "points")
 
     # Boxes: sixteen numbers for each cell, and cells are cell_rows vectors each.
     sides = [F.min(F.get("projected", F.lit(i))).alias(f"low{i}") for i in range(PROJECTED)]
     sides += [F.max(F.get("projected", F.lit(i))).alias(f"high{i}") for i in range(PROJECTED)]
-    found = np.array([tuple(r) for r in points.groupBy("cell").agg(*sides).orderBy("cell").collect()])
-    boxes = spark.sparkContext.broadcast(
-        (found[:, 0].astype(np.int64), found[:, 1 : 1 + PROJECTED], found[:, 1 + PROJECTED :])
-    )
+    several = points.where(F.col("size").isin(list(shared.value)))
+    found = np.array([tuple(r) for r in several.groupBy("size", "cell").agg(*sides).orderBy("size", "cell").collect()])
+    boxes = {}
+    for size in shared.value:
+        own_boxes = found[found[:, 0] == size]
+        boxes[size] = own_boxes[:, 1].astype(np.int64), own_boxes[:, 2 : 2 + PROJECTED], own_boxes[:, 2 + PROJECTED :]
+    boxes = spark.sparkContext.broadcast(boxes)
 
     asked = stored(usable.where("is_query").select(F.col("vec_id").alias("query_id"), "vector").distinct(), "asked")
-    single = stored(_placed(asked.select("vector").distinct(), shared), "queries")
+    queried = asked.select("vector", F.size("vector").alias("size")).distinct()
+    single = stored(_placed(queried, shared), "queries")
     wanted = count + 1
     own = _searched(points, single.withColumn("limit", F.lit(float("inf"))), wanted, reach)
     last = own.groupBy("query_key").agg(
@@ -283,7 +291,7 @@ def nearest_neighbours(
     )
     bounded = single.join(last, F.col("vector") == F.col("query_key")).select(*single.columns, "limit")
     more = bounded.mapInArrow(
-        _visits(boxes, reach), "cell long, vector array<double>, projected array<double>, limit double"
+        _visits(boxes, reach), "size int, cell long, vector array<double>, projected array<double>, limit double"
     )
     others = _searched(points, stored(more, "visits"), wanted, reach)
 

@@ -62,6 +62,19 @@ def test_recall_over_cells(spark, cell_rows):
     assert recall(grouped(found.collect()), wanted) >= 0.95
 
 
+def test_each_length_is_searched_on_its_own(spark):
+    rng = np.random.default_rng(2)
+    rows = [(0, [1.0])] + [(i, rng.normal(size=(3, 6, 6, 6)[i % 4]).tolist()) for i in range(1, 900)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest_neighbours(frame, F.col("vec_id") % 10 == 0, cell_rows=200)
+    got, wanted = grouped(found.collect()), {}
+    for size in (1, 3, 6):
+        wanted |= plain([r for r in rows if len(r[1]) == size], lambda i: i % 10 == 0)
+    assert len(wanted) == 90 and wanted.pop(0) == []
+    assert got.keys() == wanted.keys() and recall(got, wanted) >= 0.95
+    assert {len(near) for near in got.values()} == {10}
+
+
 def test_equal_vectors_and_ties(spark):
     rows = [(i, [1.0, 0.0]) for i in range(40)] + [(100, [0.0, 1.0]), (101, [2.0, 1.0]), (102, [2.0, -1.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
