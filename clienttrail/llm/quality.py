@@ -22,7 +22,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Rows an estimate of its own takes; smaller sources share one in their language, or where they have fewer
-#: rows together, are judged by that of all its rows. Languages with fewer rows are not judged.
+#: rows together, are judged by that of all its rows. Languages with fewer rows are judged by that of all rows.
 POOL_ROWS = 100
 #: Share of a pool that estimates rest on, and concentration steps from each of the two starts.
 CORE, STEPS = 0.75, 5
@@ -125,17 +125,20 @@ def _vector() -> list[Column]:
 
 
 def _pooled(rows: DataFrame) -> DataFrame:
-    """Add pool and whole.
+    """Add pool, whole and all_pool.
 
     pool: language and source, or the language's small sources, or if those are too few the whole language,
-    or null if that is too small as well. whole: the pool of the whole language where some rows need it.
+    or if that is too small as well, all rows. whole: the pool of the whole language where some rows need it.
+    all_pool: the pool of all rows if a language needs it, else null.
     """
     lang = F.coalesce(F.concat(F.lit("l"), "lang"), F.lit("none"))
     source = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("none"))
     own = F.to_json(F.array(lang, source))
     keyed = rows.withColumn("own", own).withColumn("rest", F.to_json(F.array(lang)))
     judged = keyed.where("not base_failed")
-    counts = judged.groupBy("own", "rest").agg(F.count("*").alias("n"))
+    counts = stored(judged.groupBy("own", "rest").agg(F.count("*").alias("n")), "pool-sizes")
+    lacking = counts.groupBy("rest").agg(F.sum("n").alias("n")).where(F.col("n") < POOL_ROWS)
+    everything = F.lit(None if lacking.isEmpty() else "everything").cast("string")
     small = counts.withColumn("pool", F.when(F.col("n") >= POOL_ROWS, F.col("own")))
     rest_rows = F.sum(F.when(F.col("pool").isNull(), F.col("n"))).over(Window.partitionBy("rest"))
     all_rows = F.sum("n").over(Window.partitionBy("rest"))
@@ -143,11 +146,11 @@ def _pooled(rows: DataFrame) -> DataFrame:
     whole = F.when(needed, F.concat(F.lit("whole"), F.col("rest")))
     pools = small.withColumns({"rest_rows": rest_rows, "all_rows": all_rows}).select(
         F.col("own").alias("of"),
-        F.coalesce("pool", F.when(F.col("rest_rows") >= POOL_ROWS, F.col("rest")), whole).alias("pool"),
+        F.coalesce("pool", F.when(F.col("rest_rows") >= POOL_ROWS, F.col("rest")), whole, everything).alias("pool"),
         whole.alias("whole"),
     )
     joined = keyed.join(pools, F.col("own") == F.col("of"), "left")
-    return joined.select(*rows.columns, "pool", "whole")
+    return joined.select(*rows.columns, "pool", "whole", everything.alias("all_pool"))
 
 
 def _pairs() -> list[tuple[int, int]]:
@@ -272,9 +275,10 @@ def judge_quality(documents: DataFrame) -> DataFrame:
     """Per row: doc_id, the five statistics, base_failed, kept, distance.
 
     base_failed: fewer than 50 words, or over half the words in repeated windows. Others are rejected if
-    their squared distance under the estimate of their pool (language and source, or more of the language),
-    over its scale, exceeds CUTOFF. Null languages and sources are values of their own. distance is null for rows not judged:
-    failed ones, and those of languages with too few rows, which are kept.
+    their squared distance under the estimate of their pool (language and source, or more of the language, or
+    all rows), over its scale, exceeds CUTOFF. Null languages and sources are values of their own. distance is
+    null for failed rows alone: null and empty texts are among them. Texts are read whole, of any length; rows
+    that are repeated or have equal statistics are each judged, alike; an empty table gives no rows.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * F.col("n_words")
@@ -286,9 +290,9 @@ def judge_quality(documents: DataFrame) -> DataFrame:
         _pooled(rows).select("*", *[F.when(~F.col("base_failed"), v).alias(n) for v, n in zip(_vector(), _NAMES)]),
         "pooled",
     )
-    # Rows of large sources count in the whole language too where others need its estimate.
-    pools = F.explode(F.array_distinct(F.array_compact(F.array("pool", "whole"))))
-    vectors = pooled.where("not base_failed and pool is not null").select(pools.alias("pool"), *_NAMES)
+    # Rows of large sources count in the whole language too where others need its estimate, and so on.
+    pools = F.explode(F.array_distinct(F.array_compact(F.array("pool", "whole", "all_pool"))))
+    vectors = pooled.where("not base_failed").select(pools.alias("pool"), *_NAMES)
     best = robust_estimates(vectors)
     judged = _with_distance(pooled.join(best.withColumnRenamed("pool", "of"), F.col("pool") == F.col("of"), "left"))
     distance = F.when(~F.col("base_failed"), F.col("distance") / F.col("scale"))

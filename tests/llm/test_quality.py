@@ -138,7 +138,19 @@ def test_small_sources_share_an_estimate(frame):
     rows += [(2000, made_text(rng, False), None, None)]
     got = {r["doc_id"]: r for r in quality.judge_quality(frame(rows)).collect()}
     assert [got[i]["kept"] for i in range(160)] == [i % 20 != 3 for i in range(160)]
-    assert all(got[i]["kept"] and got[i]["distance"] is None for i in [*range(1000, 1005), 2000])
+    # A language with few rows is judged by all rows.
+    assert not any(got[i]["kept"] for i in range(1000, 1005)) and got[2000]["kept"]
+    assert all(r["distance"] is not None for r in got.values())
+
+
+def test_few_rows_in_all_are_judged_together(frame):
+    """99 rows of three languages and none: the estimate is that of all of them."""
+    rng = np.random.default_rng(9)
+    rows = [(i, made_text(rng, i % 11 == 0), ("en", "de", "xx", None)[i % 4], f"s{i % 3}") for i in range(99)]
+    got = {r["doc_id"]: r for r in quality.judge_quality(frame(rows)).collect()}
+    wanted = plain_distances(np.array([vector(plain_statistics(text)) for _, text, *_ in rows]))
+    assert [got[i]["distance"] for i in range(99)] == pytest.approx(wanted.tolist(), rel=1e-6)
+    assert [got[i]["kept"] for i in range(99)] == [i % 11 != 0 for i in range(99)]
 
 
 def test_few_rows_of_small_sources_are_judged_by_their_language(frame):
