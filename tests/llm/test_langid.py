@@ -122,3 +122,28 @@ def test_weights_solve_the_whole_kernel_system():
         other = set(langid.gram_places(text).tolist())
         direct = np.array([kernel(sets[i], other) for i in marks]) @ alpha
         assert model.scores([text])[0] == pytest.approx(direct, abs=2e-3)
+
+
+def test_regression_like_the_whole_kernel_system():
+    """With every row a landmark the Nyström solution is that of kernel ridge regression on all pairs of rows."""
+    rng = np.random.default_rng(12)
+    kinds = {"de": GERMAN, "en": ENGLISH, "xx": "lorem ipsum dolor sit amet consectetur adipiscing elit sed do"}
+    names = ["de", "en", "xx", "de", "xx", "de", "en"] * 3
+    texts = [" ".join(rng.choice(kinds[n].split(), 9, replace=False)) for n in names]
+    grams = [set(langid.gram_places(t).tolist()) for t in texts]
+
+    def kernel(a, b):
+        return len(a & b) / np.sqrt(len(a) * len(b))
+
+    among = np.array([[kernel(a, b) for b in grams] for a in grams])
+    weight = np.array([1 / names.count(n) for n in names])
+    targets = np.array([[1.0 if n == own else -1.0 for own in ("de", "en", "xx")] for n in names])
+    ridge = langid.RIDGE * 3
+    alpha = np.linalg.solve(weight[:, None] * among + ridge * np.eye(len(names)), weight[:, None] * targets)
+
+    model = langid.StringKernelModel.fit([langid.gram_places(t) for t in texts], names, landmarks=len(names))
+    assert model.languages == ["de", "en", "xx"]
+    asked = [*texts[:3], "die katze dolor", "running garden", "q"]
+    for text, got in zip(asked, model.scores(asked)):
+        own = set(langid.gram_places(text).tolist())
+        assert got == pytest.approx(np.array([kernel(own, g) for g in grams]) @ alpha, abs=2e-3)
